@@ -162,4 +162,153 @@ def oracle_queries() -> dict[str, str]:
         "  SELECT unnest(string_split(retweeted_person, ' ')) AS term FROM handles"
         " ) WHERE term IS NOT NULL AND term <> '' GROUP BY term"
         " ORDER BY n DESC, term ASC LIMIT 200)", extra=(HANDLES,))
+    q.update(sentiment_oracles())
+    return q
+
+
+# --- sentiment and model stages ---------------------------------------------
+
+def _lexicon_values(rows) -> str:
+    vals = ",\n    ".join(
+        f"('{t}', CAST({p!r} AS DOUBLE), CAST({s!r} AS DOUBLE), '{k}', CAST({f!r} AS DOUBLE))"
+        for t, p, s, k, f in rows)
+    return f"lex(token, p, s, kind, f) AS (VALUES\n    {vals})"
+
+
+def _scored(src: str, key: str, text: str) -> str:
+    """CTEs scoring ``text`` of ``src`` with the join + lag form."""
+    from chirp.operators.sentiment import DEFAULT_LEXICON
+    return f"""
+{_lexicon_values(DEFAULT_LEXICON)},
+toks AS (
+  SELECT {key} AS k, unnest(range(len(string_split({text}, ' ')))) AS pos,
+         unnest(string_split({text}, ' ')) AS tok
+  FROM {src}
+),
+ctx AS (
+  SELECT k, tok, lag(tok, 1) OVER w AS t1, lag(tok, 2) OVER w AS t2
+  FROM toks WINDOW w AS (PARTITION BY k ORDER BY pos)
+),
+hits AS (
+  SELECT c.k, wl.p AS wp, wl.s AS ws, i.kind AS k1, i.f AS f1, j.kind AS k2
+  FROM ctx c JOIN lex wl ON wl.token = c.tok AND wl.kind = 'word'
+  LEFT JOIN lex i ON i.token = c.t1
+  LEFT JOIN lex j ON j.token = c.t2
+),
+hit_scores AS (
+  SELECT k,
+    least(greatest(wp * (CASE WHEN k1 = 'intensifier' THEN f1 ELSE 1.0 END), -1.0), 1.0)
+      * (CASE WHEN (CASE WHEN k1 = 'intensifier' THEN k2 ELSE k1 END) = 'negation'
+              THEN -0.5 ELSE 1.0 END) AS p,
+    least(greatest(ws * (CASE WHEN k1 = 'intensifier' THEN f1 ELSE 1.0 END), 0.0), 1.0) AS s
+  FROM hits
+),
+per_text AS (SELECT k, avg(p) AS polarity, avg(s) AS subjectivity FROM hit_scores GROUP BY k),
+scored AS (
+  SELECT src.*, coalesce(pt.polarity, 0.0) AS polarity, coalesce(pt.subjectivity, 0.0) AS subjectivity
+  FROM {src} src LEFT JOIN per_text pt ON pt.k = src.{key}
+)"""
+
+
+SENT_IN = """
+sent_in AS (SELECT * FROM cl WHERE tweet IS NOT NULL)"""
+
+SENTIMENT = """
+sentiments AS (
+  SELECT tweetid, tweet_parse AS tweet,
+    CAST(polarity AS FLOAT) AS polarity, CAST(subjectivity AS FLOAT) AS subjectivity,
+    CASE WHEN polarity >= -1 AND polarity < -0.5 THEN 'Very Negative'
+         WHEN polarity >= -0.5 AND polarity < 0 THEN 'Negative'
+         WHEN polarity = 0 THEN 'Neutral'
+         WHEN polarity > 0 AND polarity <= 0.6 THEN 'Positive'
+         ELSE 'Very Positive' END AS sentiment,
+    CASE WHEN subjectivity >= 0 AND subjectivity < 0.4 THEN 'Objective'
+         WHEN subjectivity >= 0.4 AND subjectivity < 0.6 THEN 'Neutral'
+         ELSE 'Subjective' END AS context
+  FROM scored
+)"""
+
+
+def _filtered_tokens() -> str:
+    from chirp.operators.stopwords import spark_english_stopwords
+    sw = "[" + _sql_list(spark_english_stopwords()) + "]"
+    return f"""
+ftok AS (
+  SELECT tweetid, list_filter(string_split(tweet, ' '), lambda x: NOT list_contains({sw}, x)) AS filtered
+  FROM sentiments
+)"""
+
+
+VOCAB = """
+vocab AS (
+  SELECT term, count(*) AS n FROM (SELECT unnest(filtered) AS term FROM ftok)
+  GROUP BY term ORDER BY n DESC, term ASC LIMIT 65536
+),
+dfreq AS (
+  SELECT term, count(*) AS doc_freq FROM (SELECT tweetid, unnest(list_distinct(filtered)) AS term FROM ftok)
+  GROUP BY term
+),
+idf AS (
+  SELECT v.term, d.doc_freq,
+    CASE WHEN d.doc_freq >= 5
+         THEN round(ln(((SELECT count(*) FROM ftok) + 1) / (d.doc_freq + 1)), 9)
+         ELSE 0.0 END AS idf
+  FROM vocab v JOIN dfreq d ON d.term = v.term
+)"""
+
+DOC_SCORES = """
+doc_clean AS (
+  SELECT l.doc_id, l.toxic,
+    trim(lower(regexp_replace(regexp_replace(regexp_replace(replace(
+      replace(replace(d.text, chr(10), ' '), chr(13), ' '), 'RT @', ''),
+      'http\\S+', '', 'g'), '[^a-zA-z0-9@]', ' ', 'g'), '\\s+', ' ', 'g'))) AS tweet_parse
+  FROM labels l JOIN documents d ON d.doc_id = l.doc_id
+)"""
+
+
+def sentiment_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    scored = _scored("sent_in", "tweetid", "tweet_parse")
+    q["lexicon_sentiment"] = q_view(
+        "SELECT tweetid, polarity, subjectivity FROM scored", extra=(SENT_IN, scored))
+    q["sentiment_table"] = q_view(
+        "SELECT tweet, polarity, subjectivity, sentiment, context FROM sentiments",
+        extra=(SENT_IN, scored, SENTIMENT))
+    q["sentiment_mix"] = q_view(
+        "SELECT sentiment, context, count(*) AS n_tweets FROM sentiments GROUP BY sentiment, context",
+        extra=(SENT_IN, scored, SENTIMENT))
+    base = (SENT_IN, scored, SENTIMENT, _filtered_tokens())
+    q["tokenize_stopwords"] = q_view(
+        "SELECT tweetid, array_to_string(filtered, ' ') AS filtered_text, "
+        "len(filtered) AS n_filtered FROM ftok", extra=base)
+    q["vocabulary"] = q_view("SELECT term, n FROM vocab", extra=base + (VOCAB,))
+    q["idf_table"] = q_view("SELECT term, doc_freq, idf FROM idf", extra=base + (VOCAB,))
+    q["tfidf"] = q_view(
+        "SELECT tweetid, count(*) AS n_terms, sum(tf) AS n_tokens, "
+        "CAST(sum(floor(tfidf * 1000000)) AS BIGINT) AS tfidf_micro "
+        "FROM (SELECT t.tweetid, t.term, t.tf, t.tf * i.idf AS tfidf FROM ("
+        "  SELECT tweetid, term, count(*) AS tf FROM (SELECT tweetid, unnest(filtered) AS term FROM ftok)"
+        "  GROUP BY tweetid, term) t JOIN idf i ON i.term = t.term) GROUP BY tweetid",
+        extra=base + (VOCAB,))
+    q["label_index"] = q_view(
+        "SELECT sentiment, n, CAST(row_number() OVER (ORDER BY n DESC, sentiment ASC) - 1 AS DOUBLE) "
+        "AS label_index FROM (SELECT sentiment, count(*) AS n FROM sentiments GROUP BY sentiment)",
+        extra=(SENT_IN, scored, SENTIMENT))
+    q["hash_split"] = q_view(
+        "SELECT tweetid, bucket, CASE WHEN bucket < 70 THEN 'train' ELSE 'test' END AS side FROM ("
+        " SELECT tweetid, CAST(CAST('0x' || substr(md5(CAST(tweetid AS VARCHAR)), 1, 8) AS BIGINT)"
+        " % 100 AS INTEGER) AS bucket FROM sentiments)",
+        extra=(SENT_IN, scored, SENTIMENT))
+    doc_scored = _scored("doc_clean", "doc_id", "tweet_parse")
+    q["prediction_metrics"] = with_ctes(DOC_SCORES, doc_scored, """
+pred AS (
+  SELECT CAST(toxic AS DOUBLE) AS y, CASE WHEN polarity < 0 THEN 1.0 ELSE 0.0 END AS yhat FROM scored
+),
+pairs AS (SELECT y, yhat, count(*) AS k FROM pred GROUP BY y, yhat),
+per AS (
+  SELECT y, sum(k) AS n, sum(CASE WHEN y = yhat THEN k ELSE 0 END) AS tp,
+    coalesce((SELECT sum(k) FROM pairs p2 WHERE p2.yhat = p1.y), 0) AS m
+  FROM pairs p1 GROUP BY y
+)""", body="SELECT round(sum(tp) / sum(n), 9) AS accuracy, "
+           "round(sum(n * 2 * tp / (n + m)) / sum(n), 9) AS f1 FROM per")
     return q

@@ -7,8 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from chirp.functions.text import clean_text as clean_text_expr
+from chirp.functions.text import flatten_newlines
 from chirp.operators import clean as C
 from chirp.operators import entities as E
+from chirp.operators import prediction as P
+from chirp.operators import sentiment as S
+from chirp.plans.tables import load
 from chirp.plans.tweet_view import tweet_view
 from chirp.schemas import CLEAN_ADDED
 
@@ -58,6 +65,93 @@ def term_weights(spark, sf_dir):
     return E.term_weights(E.mention_tokens(clean_view(spark, sf_dir)), "retweeted_person", 200)
 
 
+def sentiments(spark, sf_dir):
+    """Stage 7: sentiment table (with its tweet id) over non-NULL tweets."""
+    clean = C.drop_null_tweets(clean_view(spark, sf_dir))
+    return S.sentiment_table(clean, keep_key=True)
+
+
+def lexicon_sentiment(spark, sf_dir):
+    clean = C.drop_null_tweets(clean_view(spark, sf_dir))
+    return S.score_sentiment(clean, "tweet_parse").select("tweetid", "polarity", "subjectivity")
+
+
+def sentiment_table(spark, sf_dir):
+    return sentiments(spark, sf_dir).drop("tweetid")
+
+
+def sentiment_mix(spark, sf_dir):
+    return sentiments(spark, sf_dir).groupBy("sentiment", "context").agg(
+        F.count(F.lit(1)).alias("n_tweets"))
+
+
+def _tokens(spark, sf_dir):
+    return P.filtered_tokens(sentiments(spark, sf_dir), "tweet")
+
+
+def tokenize_stopwords(spark, sf_dir):
+    return _tokens(spark, sf_dir).select(
+        "tweetid", F.array_join("filtered", " ").alias("filtered_text"),
+        F.size("filtered").alias("n_filtered"))
+
+
+def _counts(spark, sf_dir):
+    sents = sentiments(spark, sf_dir).select("tweetid", "tweet")
+    # sentiments holds no NULL text (drop_null_tweets), so N is its row count
+    n_docs = sents.select(F.count(F.lit(1))).scalar()
+    return P.term_counts(P.token_rows(sents, "tweetid", "tweet"), "tweetid"), n_docs
+
+
+def vocabulary(spark, sf_dir):
+    counts, _ = _counts(spark, sf_dir)
+    return P.vocabulary(counts)
+
+
+def idf_table(spark, sf_dir):
+    return P.idf_table(*_counts(spark, sf_dir))
+
+
+def tfidf(spark, sf_dir):
+    counts, n_docs = _counts(spark, sf_dir)
+    rows = P.tfidf(counts, "tweetid", n_docs)
+    return rows.groupBy("tweetid").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_tokens"),
+        F.sum(F.floor(F.col("tfidf") * 1000000)).alias("tfidf_micro"))
+
+
+def label_index(spark, sf_dir):
+    return P.label_index(sentiments(spark, sf_dir), "sentiment")
+
+
+def hash_split(spark, sf_dir):
+    b = P.hash_bucket("tweetid")
+    return sentiments(spark, sf_dir).select(
+        "tweetid", b.alias("bucket"),
+        F.when(b < 70, "train").otherwise("test").alias("side"))
+
+
+def prediction_metrics(spark, sf_dir):
+    """Accuracy and weighted F1 of "lexicon polarity < 0" as a predictor
+    of the ``toxic`` label, over every labelled document."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = load(spark, sf_dir, "labels").join(docs, "doc_id")
+    parsed = labelled.select("doc_id", "toxic",
+                             clean_text_expr(flatten_newlines("text")).alias("tweet_parse"))
+    scored = S.score_sentiment(parsed, "tweet_parse")
+    pred = scored.select(F.col("toxic").cast("double").alias("label"),
+                         F.when(F.col("polarity") < 0, 1.0).otherwise(0.0).alias("prediction"))
+    m = P.metrics(pred)
+    return m.select(F.round("accuracy", 9).alias("accuracy"), F.round("f1", 9).alias("f1"))
+
+
+def sentiment_lr(spark, sf_dir):
+    """Stage 8: fit the TF-IDF + logistic-regression pipeline on the hash
+    train side, return test-side predictions (rows-only check)."""
+    _, pred = P.fit_predict(sentiments(spark, sf_dir), how="hash", key="tweetid",
+                            handle_invalid="keep")
+    return pred.select("tweetid", "tweet", "sentiment", "label", "prediction")
+
+
 QUERIES: dict[str, Query] = {
     "first_mention": first_mention,
     "clean_text": clean_text,
@@ -68,4 +162,15 @@ QUERIES: dict[str, Query] = {
     "top_hashtags": top_hashtags,
     "top_media": top_media,
     "term_weights": term_weights,
+    "lexicon_sentiment": lexicon_sentiment,
+    "sentiment_table": sentiment_table,
+    "sentiment_mix": sentiment_mix,
+    "tokenize_stopwords": tokenize_stopwords,
+    "vocabulary": vocabulary,
+    "idf_table": idf_table,
+    "tfidf": tfidf,
+    "label_index": label_index,
+    "hash_split": hash_split,
+    "prediction_metrics": prediction_metrics,
+    "sentiment_lr": sentiment_lr,
 }

@@ -10,9 +10,18 @@ something to find. Newlines in the text become spaces, as the stream
 listener did before landing.
 
 Nothing is filtered or truncated: the view has exactly one row per event.
-The join is left to Catalyst/AQE: a broadcast when ``documents`` is small
-by runtime statistics, a sort-merge join otherwise (doc keys are uniform
-under the modulus; AQE skew-join splits any hot partition).
+
+Partitioning: both sides are hash-partitioned on the join key into
+``spark.sql.shuffle.partitions`` parts (co-partitioned, so the join adds
+no exchange of its own). For tables too big to broadcast these are
+exactly the exchanges a sort-merge join needs; for small ones, whichever
+side Catalyst/AQE broadcasts, the streamed side has N partitions, so the
+text-heavy work downstream spreads over all cores instead of the one
+task a small file scans into. The explicit count keeps AQE from
+coalescing a few-MB shuffle into one partition: the bytes are small but
+every row carries a whole text.
+Doc keys are uniform under the modulus; AQE skew-join splits any hot
+partition.
 """
 
 from __future__ import annotations
@@ -98,7 +107,10 @@ def events_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    keyed = events.withColumn("doc_key", F.col("event_id") % n_docs)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = (events.withColumn("doc_key", F.col("event_id") % n_docs)
+             .repartition(parts, "doc_key"))
+    docs = docs.repartition(parts, "doc_id")
     return keyed.join(docs, keyed["doc_key"] == docs["doc_id"], "inner")
 
 
