@@ -56,7 +56,10 @@ tw AS (
     {_by_lang(0)} AS country,
     {_by_lang(1)} AS country_code,
     {_by_lang(2)} AS region,
-    {_by_lang(3)} AS place
+    {_by_lang(3)} AS place,
+    event_type AS _event_type,
+    lang AS _lang,
+    replace(replace(text, chr(10), ' '), chr(13), ' ') AS _text
   FROM ed
 )"""
 
@@ -163,6 +166,7 @@ def oracle_queries() -> dict[str, str]:
         " ) WHERE term IS NOT NULL AND term <> '' GROUP BY term"
         " ORDER BY n DESC, term ASC LIMIT 200)", extra=(HANDLES,))
     q.update(sentiment_oracles())
+    q.update(source_oracles())
     return q
 
 
@@ -312,3 +316,93 @@ per AS (
 )""", body="SELECT round(sum(tp) / sum(n), 9) AS accuracy, "
            "round(sum(n * 2 * tp / (n + m)) / sum(n), 9) AS f1 FROM per")
     return q
+
+
+# --- sources, stream, sinks, feeds ------------------------------------------
+
+FLAT = """
+flat AS (
+  SELECT tweetid, user_name, screen_name, verified, user_location, userId, followers,
+    (CASE tweetid % 3 WHEN 0 THEN 'RT @User' || CAST(userId AS VARCHAR) || ': '
+                      WHEN 1 THEN 'hey @User' || CAST(userId AS VARCHAR) || ' ' ELSE '' END)
+      || _text
+      || (CASE WHEN tweetid % 2 = 0 THEN ' http://t.co/' || CAST(tweetid % 97 AS VARCHAR) ELSE '' END) AS tweet,
+    favorite_count, retweet_count, created_at,
+    CASE WHEN tweetid % 4 IN (0, 3) THEN '#' || _event_type || ' #climate' END AS hashtags,
+    CASE WHEN tweetid % 4 IN (1, 3) THEN ' http://pbs/' || CAST(tweetid % 41 AS VARCHAR)
+         || '.jpg, https://t.co/' || CAST(tweetid % 97 AS VARCHAR) || ', photo' END AS media,
+    place_type, country, country_code, region, place, _lang
+  FROM tw WHERE tweetid % 50 <> 49
+)"""
+
+FLAT_COLS = ("tweetid, user_name, screen_name, verified, user_location, userId, followers, "
+             "tweet, favorite_count, retweet_count, created_at, hashtags, media, "
+             "place_type, country, country_code, region, place")
+
+LINES = """
+lines AS (
+  SELECT string_split(concat_ws(chr(9),
+    CAST(tweetid AS VARCHAR), user_name, screen_name, verified, user_location,
+    CAST(userId AS VARCHAR), CAST(followers AS VARCHAR), tweet,
+    coalesce(CAST(favorite_count AS VARCHAR), 'None'), coalesce(CAST(retweet_count AS VARCHAR), 'None'),
+    created_at, hashtags, media, place_type, country, country_code, region, place), chr(9)) AS a
+  FROM flat
+)"""
+
+
+def _nz(x: str) -> str:
+    return f"NULLIF({x}, '')"
+
+
+POSITIONAL = f"""SELECT TRY_CAST({_nz('a[1]')} AS BIGINT) AS tweetid, {_nz('a[2]')} AS user_name,
+  {_nz('a[3]')} AS screen_name, {_nz('a[4]')} AS verified, {_nz('a[5]')} AS user_location,
+  TRY_CAST({_nz('a[6]')} AS BIGINT) AS userId, TRY_CAST({_nz('a[7]')} AS BIGINT) AS followers,
+  {_nz('a[8]')} AS tweet, TRY_CAST({_nz('a[9]')} AS INTEGER) AS favorite_count,
+  TRY_CAST({_nz('a[10]')} AS INTEGER) AS retweet_count, {_nz('a[11]')} AS created_at,
+  {_nz('a[12]')} AS hashtags_and_media, {_nz('a[13]')} AS place_type, {_nz('a[14]')} AS country,
+  {_nz('a[15]')} AS country_code, {_nz('a[16]')} AS region, {_nz('a[17]')} AS place
+FROM lines"""
+
+REALIGN = r"""
+ra AS (
+  SELECT a, len(a) AS n,
+    coalesce(list_position(list_transform(a, lambda x: regexp_full_match(x,
+      '[A-Z][a-z]{2} [A-Z][a-z]{2} [0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4} [0-9]{4}')), true), 0) AS pos
+  FROM lines
+),
+rb AS (SELECT a, n, CASE WHEN pos > 0 THEN pos - 1 ELSE 10 END AS ca FROM ra),
+rc AS (SELECT *, a[ca + 2 : n - 5] AS middle FROM rb)"""
+
+REALIGN_SELECT = f"""SELECT TRY_CAST(a[1] AS BIGINT) AS tweetid, {_nz('a[2]')} AS user_name,
+  {_nz('a[3]')} AS screen_name, {_nz('a[4]')} AS verified, {_nz('a[5]')} AS user_location,
+  TRY_CAST(a[6] AS BIGINT) AS userId, TRY_CAST(a[7] AS BIGINT) AS followers,
+  {_nz("array_to_string(a[8 : greatest(ca - 2, 8)], chr(9))")} AS tweet,
+  TRY_CAST(a[ca - 1] AS INTEGER) AS favorite_count, TRY_CAST(a[ca] AS INTEGER) AS retweet_count,
+  {_nz('a[ca + 1]')} AS created_at,
+  coalesce(list_filter(middle, lambda x: starts_with(x, '#'))[1],
+           list_filter(middle, lambda x: contains(x, 'http'))[1]) AS hashtags_and_media,
+  {_nz('a[n - 4]')} AS place_type, {_nz('a[n - 3]')} AS country, {_nz('a[n - 2]')} AS country_code,
+  {_nz('a[n - 1]')} AS region, {_nz('a[n]')} AS place,
+  list_filter(middle, lambda x: starts_with(x, '#'))[1] AS hashtags,
+  list_filter(middle, lambda x: contains(x, 'http'))[1] AS media
+FROM rc"""
+
+
+def source_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["flatten_tweets"] = q_view(f"SELECT {FLAT_COLS} FROM flat", clean=False, extra=(FLAT,))
+    q["stream_ingest"] = q_view(f"SELECT {FLAT_COLS} FROM flat WHERE tweetid % 89 <> 88",
+                                clean=False, extra=(FLAT,))
+    q["track_filter"] = q_view(
+        "SELECT tweetid, _lang AS lang FROM flat WHERE _lang = 'en' AND (tweetid % 4 IN (0, 3) "
+        "OR regexp_matches(lower(tweet), '(^|[^a-z0-9_])climate([^a-z0-9_]|$)'))",
+        clean=False, extra=(FLAT,))
+    q["tsv_positional"] = q_view(POSITIONAL, clean=False, extra=(FLAT, LINES))
+    q["tsv_realign"] = q_view(REALIGN_SELECT, clean=False, extra=(FLAT, LINES, REALIGN))
+    q["sink_roundtrip"] = q_view("SELECT media_url FROM media_tokens", clean=False, extra=(MEDIA,))
+    drop = "FROM cl WHERE tweet IS NOT NULL"
+    q["tweets_by_hour"] = q_view(
+        f"SELECT tweet_date_string, hour, count(*) AS n_tweets {drop} GROUP BY tweet_date_string, hour")
+    q["tweets_by_country"] = q_view(f"SELECT country, count(*) AS n_tweets {drop} GROUP BY country")
+    q["tweets_by_dow"] = q_view(f"SELECT day_of_week, count(*) AS n_tweets {drop} GROUP BY day_of_week")
+    return q

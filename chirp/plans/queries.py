@@ -16,7 +16,12 @@ from chirp.operators import entities as E
 from chirp.operators import prediction as P
 from chirp.operators import sentiment as S
 from chirp.plans.tables import load
-from chirp.plans.tweet_view import tweet_view
+from chirp.plans.tweet_view import tweet_event_lines, tweet_events, tweet_view
+from chirp.session import scratch_path
+from chirp.sources import json_tweets as J
+from chirp.sources import tables as T
+from chirp.sources import tsv as V
+from chirp.streaming import ingest as S_in
 from chirp.schemas import CLEAN_ADDED
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +157,81 @@ def sentiment_lr(spark, sf_dir):
     return pred.select("tweetid", "tweet", "sentiment", "label", "prediction")
 
 
+def flatten_tweets(spark, sf_dir):
+    ev = tweet_events(spark, sf_dir)
+    return J.flatten_tweets(ev.filter(J.has_text(ev)))
+
+
+def track_filter(spark, sf_dir):
+    return J.track(tweet_events(spark, sf_dir), ["climate"], ["en"]).select(
+        F.col("id").alias("tweetid"), "lang")
+
+
+def _tsv_files(spark, sf_dir) -> str:
+    path = scratch_path(spark, "tsv")
+    V.write_tsv_lines(V.to_tsv_line(flatten_tweets(spark, sf_dir)), path)
+    return path
+
+
+def tsv_positional(spark, sf_dir):
+    return V.read_tweets_tsv(spark, _tsv_files(spark, sf_dir))
+
+
+def tsv_realign(spark, sf_dir):
+    return V.read_tweets_tsv(spark, _tsv_files(spark, sf_dir), realign=True)
+
+
+def stream_ingest(spark, sf_dir):
+    """JSON lines derived from the tables -> availableNow stream -> Parquet
+    (dead letters aside) -> read back."""
+    root = scratch_path(spark, "stream")
+    tweet_event_lines(spark, sf_dir).write.mode("overwrite").text(f"{root}/in")
+    q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead",
+                          f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return S_in.read_ingested(spark, f"{root}/out").select(*J.FLAT_COLUMNS)
+
+
+def sink_roundtrip(spark, sf_dir):
+    """Stage 5's table flow on catalog tables: save, CTAS split, explode,
+    DELETE, UPDATE and overwrite-while-reading via a staged swap."""
+    root = scratch_path(spark, "warehouse")
+    db = "chirp_" + root.rsplit("-", 1)[-1]
+    prev_db = spark.catalog.currentDatabase()
+    T.use_database(spark, db, root)
+    try:
+        T.save_table(tweet_view(spark, sf_dir), "tblclimate")
+        arrays = T.create_table_as(
+            spark, "tblmedia_arrays",
+            "SELECT split(hashtags_and_media, ' ') AS media_url FROM tblclimate "
+            "WHERE hashtags_and_media IS NOT NULL AND instr(hashtags_and_media, 'http') > 0")
+        T.save_table(arrays.select(F.explode("media_url").alias("media_url")), "tblmedia")
+        media = spark.table("tblmedia")
+        media = T.delete_where(media, F.col("media_url").isNull() | (F.trim("media_url") == "")
+                               | (F.instr("media_url", "http") == 0))
+        media = T.update_where(media, "media_url", F.replace("media_url", F.lit(","), F.lit("")))
+        return T.replace_table(spark, media, "tblmedia")
+    finally:
+        spark.catalog.setCurrentDatabase(prev_db)
+
+
+def _live(spark, sf_dir):
+    return C.drop_null_tweets(clean_view(spark, sf_dir))
+
+
+def tweets_by_hour(spark, sf_dir):
+    return _live(spark, sf_dir).groupBy("tweet_date_string", "hour").agg(
+        F.count(F.lit(1)).alias("n_tweets"))
+
+
+def tweets_by_country(spark, sf_dir):
+    return _live(spark, sf_dir).groupBy("country").agg(F.count(F.lit(1)).alias("n_tweets"))
+
+
+def tweets_by_dow(spark, sf_dir):
+    return _live(spark, sf_dir).groupBy("day_of_week").agg(F.count(F.lit(1)).alias("n_tweets"))
+
+
 QUERIES: dict[str, Query] = {
     "first_mention": first_mention,
     "clean_text": clean_text,
@@ -173,4 +253,13 @@ QUERIES: dict[str, Query] = {
     "hash_split": hash_split,
     "prediction_metrics": prediction_metrics,
     "sentiment_lr": sentiment_lr,
+    "flatten_tweets": flatten_tweets,
+    "track_filter": track_filter,
+    "tsv_positional": tsv_positional,
+    "tsv_realign": tsv_realign,
+    "stream_ingest": stream_ingest,
+    "sink_roundtrip": sink_roundtrip,
+    "tweets_by_hour": tweets_by_hour,
+    "tweets_by_country": tweets_by_country,
+    "tweets_by_dow": tweets_by_dow,
 }

@@ -117,3 +117,55 @@ def events_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tweet_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = tweet_columns()
     return events_with_text(spark, sf_dir).select(*[cols[c].alias(c) for c in RAW_COLUMNS])
+
+
+def tweet_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tweets as nested JSON-shaped events, as the provider stream
+    would deliver them: text keeps its newlines; hashtags for
+    ``event_id % 4`` in (0, 3), one photo for (1, 3), so some tweets carry
+    both; a place struct unless ``user_id % 3 == 0``. Events whose tweet
+    is NULL in the view come without text (delete notices)."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    cols = tweet_columns()
+    prefix_text = F.when(eid % 50 == 49, F.lit(None).cast("string")).otherwise(F.concat(
+        F.when(eid % 3 == 0, F.concat(F.lit("RT @User"), _s(uid), F.lit(": ")))
+        .when(eid % 3 == 1, F.concat(F.lit("hey @User"), _s(uid), F.lit(" ")))
+        .otherwise(F.lit("")),
+        F.col("text"),
+        F.when(eid % 2 == 0, F.concat(F.lit(" http://t.co/"), _s(eid % 97))).otherwise(F.lit(""))))
+    tags = F.when((eid % 4 == 0) | (eid % 4 == 3),
+                  F.array(F.struct(F.col("event_type").alias("text")),
+                          F.struct(F.lit("climate").alias("text"))))
+    media = F.when((eid % 4 == 1) | (eid % 4 == 3), F.struct(F.array(F.struct(
+        F.concat(F.lit("http://pbs/"), _s(eid % 41), F.lit(".jpg")).alias("media_url"),
+        F.concat(F.lit("https://t.co/"), _s(eid % 97)).alias("url"),
+        F.lit("photo").alias("type"))).alias("media")))
+    place = F.when(uid % 3 != 0, F.struct(
+        cols["place_type"].alias("place_type"), cols["country"].alias("country"),
+        cols["country_code"].alias("country_code"), cols["region"].alias("full_name"),
+        cols["place"].alias("name")))
+    return events_with_text(spark, sf_dir).select(
+        eid.alias("id"), prefix_text.alias("text"), F.col("lang"),
+        cols["favorite_count"].alias("favorite_count"),
+        cols["retweet_count"].alias("retweet_count"),
+        cols["created_at"].alias("created_at"),
+        F.struct(uid.alias("id"), cols["user_name"].alias("name"),
+                 cols["screen_name"].alias("screen_name"), (uid % 10 == 0).alias("verified"),
+                 F.col("source").alias("location"),
+                 (uid * 10).alias("followers_count")).alias("user"),
+        F.struct(tags.alias("hashtags")).alias("entities"),
+        media.alias("extended_entities"),
+        place.alias("place"))
+
+
+def tweet_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of ``tweet_events``: tweets without text become delete
+    notices, and every 89th event is cut short (not JSON) so the
+    dead-letter path has work."""
+    ev = tweet_events(spark, sf_dir)
+    js = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
+    delete = F.concat(F.lit('{"delete":{"status":{"id":'), _s(F.col("id")), F.lit("}}}"))
+    line = (F.when(F.col("text").isNull(), delete)
+            .when(F.col("id") % 89 == 88, F.substring(js, 1, 25))
+            .otherwise(js))
+    return ev.select(line.alias("value"))
