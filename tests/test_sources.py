@@ -1,0 +1,105 @@
+"""TSV scans (positional vs realign), JSON flatten, streaming ingest."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from chirp.session import scratch_path
+from chirp.sources import json_tweets as J
+from chirp.sources import tsv as V
+from chirp.streaming import ingest as S_in
+
+CA = "Sat May 07 12:34:56 +0000 2022"
+BASE = ["10", "Ann", "ann", "False", "None", "5", "50", "hello world", "1", "2", CA]
+PLACE = ["city", "Canada", "CA", "Ottawa, ON", "Ottawa"]
+TAGS = "#a #b"
+MEDIA = " http://m/a.jpg, https://t.co/x, photo"
+
+
+def write_lines(spark, lines):
+    path = scratch_path(spark, "test-tsv")
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def by_id(df):
+    return {r.tweetid: r for r in df.collect()}
+
+
+def test_positional_arity_shifts(spark):
+    lines = ["\t".join(["16"] + BASE[1:] + PLACE),
+             "\t".join(["17"] + BASE[1:] + [TAGS] + PLACE),
+             "\t".join(["18"] + BASE[1:] + [TAGS, MEDIA] + PLACE)]
+    rows = by_id(V.read_tweets_tsv(spark, write_lines(spark, lines)))
+    assert rows[16].hashtags_and_media == "city" and rows[16].place is None
+    assert rows[17].hashtags_and_media == TAGS and rows[17].place == "Ottawa"
+    assert rows[18].hashtags_and_media == TAGS and rows[18].place_type == MEDIA
+    assert rows[18].place == "Ottawa, ON"
+
+
+def test_realign_restores_fields(spark):
+    lines = ["\t".join(["16"] + BASE[1:] + PLACE),
+             "\t".join(["18"] + BASE[1:] + [TAGS, MEDIA] + PLACE),
+             "\t".join(["19"] + BASE[1:7] + ["tab\tinside"] + BASE[8:] + [MEDIA] + PLACE),
+             "\t".join(["20"] + BASE[1:7] + ['"unbalanced quote'] + BASE[8:] + PLACE)]
+    rows = by_id(V.read_tweets_tsv(spark, write_lines(spark, lines), realign=True))
+    assert rows[16].hashtags_and_media is None and rows[16].place == "Ottawa"
+    assert (rows[18].hashtags, rows[18].media, rows[18].place_type, rows[18].place) == \
+        (TAGS, MEDIA, "city", "Ottawa")
+    assert rows[19].tweet == "tab\tinside" and rows[19].favorite_count == 1 and rows[19].media == MEDIA
+    assert rows[20].tweet == '"unbalanced quote' and rows[20].place == "Ottawa"
+
+
+def test_to_tsv_line_arity(spark):
+    flat = spark.createDataFrame(
+        [(1, "n", "s", "True", "l", 2, 3, "t", 4, 5, CA, None, None, "", "", "", "", ""),
+         (2, "n", "s", "True", "l", 2, 3, "t", 4, 5, CA, TAGS, MEDIA, "a", "b", "c", "d", "e")],
+        ", ".join(f"{c} {t}" for c, t in zip(J.FLAT_COLUMNS,
+                  ["bigint"] + ["string"] * 4 + ["bigint", "bigint", "string", "int", "int"]
+                  + ["string"] * 8)))
+    got = [r.value.split("\t") for r in V.to_tsv_line(flat).collect()]
+    assert [len(x) for x in got] == [16, 18]
+
+
+def _event(i, **over):
+    ev = {"id": i, "text": f"tweet {i}\nline", "lang": "en", "favorite_count": 1, "retweet_count": 2,
+          "created_at": CA,
+          "user": {"id": 7, "name": "U", "screen_name": "u", "verified": True, "location": None,
+                   "followers_count": 9},
+          "entities": {"hashtags": [{"text": "climate"}, {"text": "x"}]},
+          "place": {"place_type": "city", "country": "C", "country_code": "CC",
+                    "full_name": "F", "name": "N"}}
+    ev.update(over)
+    return json.dumps(ev)
+
+
+def test_stream_ingest_edge_cases(spark):
+    root = scratch_path(spark, "test-stream")
+    lines = [_event(1), '{"delete":1}', "not json {", _event(4, place=None),
+             _event(5, entities={"hashtags": []})]
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(f"{root}/in")
+    q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead", f"{root}/ckpt",
+                          available_now=True)
+    q.awaitTermination()
+    rows = by_id(S_in.read_ingested(spark, f"{root}/out"))
+    assert sorted(rows) == [1, 4, 5]
+    r1 = rows[1]
+    assert (r1.tweet, r1.verified, r1.user_location, r1.hashtags, r1.region) == \
+        ("tweet 1 line", "True", "None", "#climate #x", "F")
+    assert rows[4].place_type == "" and rows[4].place == ""
+    assert rows[5].hashtags is None
+    dead = S_in.dead_letter_counts(spark, f"{root}/dead").agg(F.sum("rejected")).first()[0]
+    assert dead == 1
+    # the same function flattens the batch read of the same files
+    batch = J.decode_json(spark.read.text(f"{root}/in"))
+    batch = J.flatten_tweets(batch.filter(F.col(J.CORRUPT).isNull() & J.has_text(batch)))
+    stream = S_in.read_ingested(spark, f"{root}/out").select(*J.FLAT_COLUMNS)
+    assert batch.exceptAll(stream).count() == 0 and stream.exceptAll(batch).count() == 0
+
+
+def test_track_filter(spark):
+    df = J.decode_json(spark.createDataFrame(
+        [(_event(1, text="Climate talk"),), (_event(2, text="nothing", entities=None),),
+         (_event(3, text="climatex", entities=None),), (_event(4, lang="fr"),)], "value string"))
+    got = sorted(r.id for r in J.track(df, ["climate"], ["en"]).collect())
+    assert got == [1]
