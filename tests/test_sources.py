@@ -103,3 +103,20 @@ def test_track_filter(spark):
          (_event(3, text="climatex", entities=None),), (_event(4, lang="fr"),)], "value string"))
     got = sorted(r.id for r in J.track(df, ["climate"], ["en"]).collect())
     assert got == [1]
+
+
+def test_sinks_roundtrip(spark):
+    from chirp.sources import tables as T
+    root = scratch_path(spark, "test-sinks")
+    df = spark.createDataFrame([(1, "a,b", None), (2, " ", "x")], "k long, v string, w string")
+    T.write_parquet(df, f"{root}/pq", partition_by=["k"])
+    assert T.read_parquet(spark, f"{root}/pq").count() == 2
+    V.write_tsv_csv(df, f"{root}/csv")
+    back = spark.read.option("sep", "\t").option("header", True).csv(f"{root}/csv")
+    assert back.columns == ["k", "v", "w"] and back.count() == 2
+    kept = T.delete_where(df, (F.trim("v") == "") | F.col("w").isNull())
+    assert kept.count() == 0
+    upd = T.update_where(df, "v", F.replace("v", F.lit(","), F.lit("")), F.col("k") == 1)
+    assert sorted(r.v for r in upd.collect()) == [" ", "ab"]
+    prof = T.profile(df).first()
+    assert (prof.n_rows, prof.w__nulls, prof.v__empty) == (2, 1, 0)
