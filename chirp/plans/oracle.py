@@ -284,11 +284,11 @@ def sentiment_oracles() -> dict[str, str]:
     base = (SENT_IN, scored, SENTIMENT, _filtered_tokens())
     q["tokenize_stopwords"] = q_view(
         "SELECT tweetid, array_to_string(filtered, ' ') AS filtered_text, "
-        "len(filtered) AS n_filtered FROM ftok", extra=base)
+        "CAST(len(filtered) AS INTEGER) AS n_filtered FROM ftok", extra=base)
     q["vocabulary"] = q_view("SELECT term, n FROM vocab", extra=base + (VOCAB,))
     q["idf_table"] = q_view("SELECT term, doc_freq, idf FROM idf", extra=base + (VOCAB,))
     q["tfidf"] = q_view(
-        "SELECT tweetid, count(*) AS n_terms, sum(tf) AS n_tokens, "
+        "SELECT tweetid, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens, "
         "CAST(sum(floor(tfidf * 1000000)) AS BIGINT) AS tfidf_micro "
         "FROM (SELECT t.tweetid, t.term, t.tf, t.tf * i.idf AS tfidf FROM ("
         "  SELECT tweetid, term, count(*) AS tf FROM (SELECT tweetid, unnest(filtered) AS term FROM ftok)"

@@ -41,9 +41,22 @@ def rows_of(names, rows, places=9):
     return sorted([n for n in (names[i] for i in order)]), sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "smallint": "SMALLINT", "date": "DATE"}
+
+
 def compare(spark_df, con, sql: str, places: int = 9):
-    """Returns (ok, message)."""
+    """Returns (ok, message): same column names, compatible types, same rows
+    (order-insensitive, floats rounded)."""
     s_names = spark_df.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    if s_names and set(s_names) == set(d_types) and s_types != d_types:
+        diff = {k: (s_types[k], d_types[k]) for k in s_types if s_types[k] != d_types[k]}
+        return False, f"types differ: {diff}"
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     d_names = [d[0] for d in res.description]
