@@ -39,14 +39,22 @@ def clean_text(tweet: ColumnOrName, strict: bool = False) -> Column:
     The "outside the class -> space" and "squeeze whitespace" steps are
     fused into one regex pass: the class holds no whitespace, so after
     the first step every whitespace run is a run of replaced characters.
+    The class is spelled with ``\\w`` (ASCII ``[a-zA-Z_0-9]`` in Java
+    regex) plus the other five characters of ``A-z``: the same set, but
+    Java evaluates it about ten times faster than the range union.
     """
-    keep = "a-zA-Z0-9@" if strict else "a-zA-z0-9@"
     s = F.replace(_c(tweet), F.lit("RT @"), F.lit(""))
     s = F.regexp_replace(s, r"http\S+", "")
-    s = F.regexp_replace(s, f"[^{keep}]+", " ")
+    s = F.regexp_replace(s, STRICT_RUN if strict else KEEP_RUN, " ")
     return F.trim(F.lower(s))
 
 
+# Runs of characters outside the kept class, as Java regex:
+# [^a-zA-z0-9@]+ (the reference's class) and [^a-zA-Z0-9@]+ (strict).
+KEEP_RUN = r"[^\w@\[\]\\^`]+"
+STRICT_RUN = r"[^\p{Alnum}@]+"
+
+
 def flatten_newlines(text: ColumnOrName) -> Column:
     """Newline and carriage return each become a space; tabs are kept.
     (Two byte-level ``replace`` calls: Spark's ``translate`` works per
