@@ -52,3 +52,10 @@ def test_ranged_top_rows_matches_order_limit(spark):
     got = sorted((tuple(r) for r in _ranged_top(df.repartition(13), 1500, order).collect()),
                  key=lambda r: (-r[0], r[1]))
     assert got == want
+
+
+def test_view_join_broadcasts_bounded_documents(spark):
+    from chirp.plans import queries as Q
+    plan = Q.QUERIES["clean_text"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert "hashpartitioning(event_id" in plan
