@@ -120,3 +120,14 @@ def test_sinks_roundtrip(spark):
     assert sorted(r.v for r in upd.collect()) == [" ", "ab"]
     prof = T.profile(df).first()
     assert (prof.n_rows, prof.w__nulls, prof.v__empty) == (2, 1, 0)
+
+
+def test_hour_folder_glob_and_recursive(spark):
+    root = scratch_path(spark, "test-glob")
+    for i, hour in enumerate(["2022/05/07/12", "2022/05/07/13", "2022/05/08/00"]):
+        line = "\t".join([str(i)] + BASE[1:] + PLACE)
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{root}/{hour}/part")
+    globbed = V.read_tweets_tsv(spark, f"{root}/*/*/*/*/*")
+    assert sorted(r.tweetid for r in globbed.collect()) == [0, 1, 2]
+    rec = V.read_tweets_tsv(spark, root, realign=True, recursive=True)
+    assert sorted(r.tweetid for r in rec.collect()) == [0, 1, 2]
