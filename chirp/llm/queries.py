@@ -7,10 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirp.llm import chat_format as chat
+from chirp.llm.bpe import encode_decode
 from chirp.llm.common import table
 from chirp.llm.line_dedup import line_dedup
+from chirp.llm.packing import pack
 from chirp.llm.quality_rules import quality_rules
 from chirp.llm.sharding import shard_documents
+from chirp.llm.simhash import simhash_dedup
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +64,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "quality_posterior")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=4096, end_id=2)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -69,8 +84,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op3_chat_format": op3_chat_format,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
+    "op6_bpe": op6_bpe,
     "op8_sharding": op8_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
