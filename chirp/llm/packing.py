@@ -35,7 +35,7 @@ from chirp.llm.bpe import Splitter, _Words, gathered, public_vocabulary
 from chirp.llm.common import stored
 
 CAPACITY = 4096
-PIECE = 1024
+PIECE = 512
 END_ID = 2
 GROUP_WINDOWS = 256
 CHUNK_CHARS = 6_000_000

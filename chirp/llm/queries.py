@@ -11,6 +11,7 @@ from chirp.llm.bpe import encode_decode
 from chirp.llm.common import table
 from chirp.llm.line_dedup import line_dedup
 from chirp.llm.packing import pack
+from chirp.llm.quality_classifier import classify, fit
 from chirp.llm.quality_rules import quality_rules
 from chirp.llm.sharding import shard_documents
 from chirp.llm.simhash import simhash_dedup
@@ -78,6 +79,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, model, keep=["doc_id"])
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs)
@@ -90,6 +97,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_bpe": op6_bpe,
     "op8_sharding": op8_sharding,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
 }
 

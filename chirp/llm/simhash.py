@@ -24,9 +24,9 @@ and each such clique is chained to its first member.
 
 Defined cases: a null text is empty; no words: fingerprint zero, linked
 like any other; fewer words than ``words``: one shingle of all of them; a
-null doc_id never is a component id unless its whole group has none; rows
-with one doc_id are separate rows of the same group rules. An empty table
-gives an empty result. Extra columns are ignored.
+null doc_id is a component id only if its whole group has none; repeated
+rows are rows of their own. An empty table gives an empty result. Extra
+columns are ignored by ``simhash_dedup`` and carried by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chirp.llm.common import components, stored
 
@@ -64,18 +65,17 @@ def fingerprint(text: str | None, k: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 k: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) with fp as a signed 64-bit integer."""
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
+    """``keep`` columns and ``fp``, the fingerprint as a signed integer."""
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_s_text"))
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), k) for t in b.column("text")], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), k) for t in b.column("_s_text")], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(fp)], b.schema.names[:-1] + ["fp"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -174,15 +174,34 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return filed.mapInArrow(run, "a long, b long").distinct()
 
 
+def grouped(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root): the group of each of the distinct fingerprints."""
+    parts = components(links(distinct, max_bits))
+    return (distinct.select("fp").join(parts, F.col("fp") == F.col("node"), "left")
+            .select("fp", F.coalesce("component", "fp").alias("root")))
+
+
 def simhash_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                   max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id), a row for each document."""
-    fps = stored(fingerprints(docs, doc_id, text, words), "simhash_fp")
+    fps = stored(fingerprints(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")),
+                              ["doc_id"], "text", words), "simhash_fp")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash_distinct")
-    parts = components(links(distinct.select("fp"), max_bits))
-    placed = distinct.join(parts, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("root"))
+    placed = distinct.join(grouped(distinct, max_bits), "fp")
     roots = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = placed.join(roots, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+             max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each group: the smallest doc_id (nulls last),
+    of rows repeating it the first stored."""
+    rows = stored(docs.withColumn("_s_row", F.monotonically_increasing_id()), "simhash_rows")
+    fps = stored(fingerprints(rows, ["_s_row", doc_id], text, words), "simhash_fp")
+    order = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col("_s_row").alias("row"))
+    distinct = stored(fps.groupBy("fp").agg(F.min(order).alias("low")), "simhash_distinct")
+    first = (distinct.join(grouped(distinct, max_bits), "fp").groupBy("root").agg(F.min("low").alias("low"))
+             .select(F.col("low.row").alias("_s_row")))
+    return rows.join(first, "_s_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
