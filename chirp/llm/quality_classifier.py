@@ -87,30 +87,27 @@ class Model:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = DIM, steps: int = STEPS,
           rate: float = RATE, seed: int = 0) -> Model:
-    """SGD over (buckets, weights, label) rows, one row at a time, with a
-    falling rate, in whole epochs of at least ``steps`` steps; the order and
-    the start are fixed by ``seed``."""
+    """SGD over (buckets, weights, label) rows of both classes, one random
+    row of either class in turn, with a falling rate; fixed by ``seed``."""
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS + 2, dim))
-    out, bias = np.zeros((dim, 2)), np.zeros(2)
-    epochs = -(-steps // max(1, len(rows)))
-    step, total = 0, max(1, epochs * len(rows))
-    for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
-            at, weight, label = rows[i]
-            lr = rate * (1 - step / total)
-            step += 1
-            hidden = weight @ vectors[at]
-            z = hidden @ out + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[label] -= 1
-            # squared weights: a document's step does not shrink with its length
-            scale = lr / max(float(weight @ weight), 1e-3)
-            back = out @ p
-            out -= lr * np.outer(hidden, p)
-            bias -= 0.1 * lr * p
-            vectors[at] -= np.outer(min(scale, 20 * lr) * weight, back)
+    vectors, out = rng.uniform(-1 / dim, 1 / dim, (BUCKETS + 2, dim)), rng.normal(0, 1, (dim, 2))
+    bias = np.zeros(2)
+    classes = [[r for r in rows if r[2] == c] for c in (0, 1)]
+    for step in range(steps):
+        part = classes[step % 2]
+        at, weight, label = part[rng.integers(len(part))]
+        lr = rate * (1 - step / steps)
+        hidden = weight @ vectors[at]
+        z = hidden @ out + bias
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        p[label] -= 1
+        # over the squared weights: a long document's step is not a smaller one
+        scale = min(lr / max(float(weight @ weight), 1e-3), 20 * lr)
+        back = out @ p
+        out -= lr * np.outer(hidden, p)
+        bias -= 0.1 * lr * p
+        vectors[at] -= np.outer(scale * weight, back)
     side = out[:, 1] - out[:, 0]
     return Model(vectors @ side, float(bias[1] - bias[0]))
 
@@ -151,10 +148,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     for r in got.toLocalIterator():  # bounded by max_per_class; copies of an id count once
         by_id.setdefault(r["id"], (np.frombuffer(r["at"], "<i4"), np.frombuffer(r["weight"], "<f4").astype(float), r["y"]))
     data = [by_id[k] for k in sorted(by_id)]
+    if {d[2] for d in data} != {0, 1}:  # the labels of one class have no documents
+        p = float(np.mean([d[2] for d in data])) if data else 0.5
+        return Model(np.zeros(BUCKETS + 2), math.log((p + 1e-6) / (1 - p + 1e-6)))
     model = train(data)
-    seen = [sum(d[2] == c for d in data) for c in (0, 1)]
-    if min(seen):  # the sample's class shares are not the labels'
-        model.bias += math.log(share[1] / share[0]) - math.log(seen[1] / seen[0])
+    model.bias += math.log(share[1] / share[0])  # the classes took turns
     return model
 
 
