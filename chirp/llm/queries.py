@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from chirp.llm import chat_format as chat
 from chirp.llm.bpe import encode_decode
 from chirp.llm.common import table
+from chirp.llm.embedding_dedup import embedding_dedup
 from chirp.llm.line_dedup import line_dedup
 from chirp.llm.packing import pack
 from chirp.llm.quality_classifier import classify, fit
@@ -73,6 +74,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_bpe": op6_bpe,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_sharding": op8_sharding,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
