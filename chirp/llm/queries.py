@@ -10,6 +10,7 @@ from chirp.llm import chat_format as chat
 from chirp.llm.bpe import encode_decode
 from chirp.llm.common import table
 from chirp.llm.embedding_dedup import embedding_dedup
+from chirp.llm.license_scan import license_scan
 from chirp.llm.line_dedup import line_dedup
 from chirp.llm.packing import pack
 from chirp.llm.quality_classifier import classify, fit
@@ -22,6 +23,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"),
@@ -97,6 +102,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_license_scan": op2_license_scan,
     "op3_chat_format": op3_chat_format,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
