@@ -40,6 +40,7 @@ TOLERANCE = 1e-4
 START = {"prior": 0.8, "good": 0.99, "bad": 0.25}
 GOOD_RANGE, BAD_RANGE = (0.99, 0.9999), (0.1, 0.4)
 
+RULES = ("symbols", "symbol_chars", "word_length", "capitals", "repetition", "dup_lines", "vocabulary", "shouting")
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_lines", "n_distinct_words", "n_upper", "n_shouts")
 
@@ -108,9 +109,6 @@ def _rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
-RULES = tuple(_rules())
-
-
 def votes() -> list[Column]:
     """One vote a rule: 1 good, -1 bad, 0 abstains. A document without
     words gets no votes."""
