@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every chirp job relies on. Time parts are read from text that
 # says +0000, so the session clock must be UTC for parsed and formatted
@@ -46,13 +46,16 @@ def get_spark(master: str | None = None, app: str = "chirp",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage; we only fall
-    back to a local folder when it is unset (tests, laptops).
+    Unset, a local folder is chosen for local masters only (tests,
+    laptops); on a cluster that raises, since executors would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError(f"spark.checkpoint.dir is not set; master {master} needs a shared folder there")
         root = os.path.join("/tmp", f"chirp-checkpoints-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -60,6 +63,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/chirp/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/chirp/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Deletes all scratch files of this application. Call it when no result
+    that reads them is needed any more (results are lazy)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: cuts the lineage,
+    so later passes and lost executors re-read files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

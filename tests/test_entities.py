@@ -42,20 +42,3 @@ def test_no_python_eval_in_entity_plans(spark):
     for name in ["top_mentions", "top_hashtags", "top_media", "clean_text", "lexicon_sentiment"]:
         plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
-
-
-def test_ranged_top_rows_matches_order_limit(spark):
-    from chirp.operators.topk import _ranged_top
-    df = spark.range(20000).select((F.col("id") % 997).alias("n"), F.col("id").cast("string").alias("t"))
-    order = [F.col("n").desc(), F.col("t").asc()]
-    want = [tuple(r) for r in df.orderBy(*order).limit(1500).collect()]
-    got = sorted((tuple(r) for r in _ranged_top(df.repartition(13), 1500, order).collect()),
-                 key=lambda r: (-r[0], r[1]))
-    assert got == want
-
-
-def test_view_join_broadcasts_bounded_documents(spark):
-    from chirp.plans import queries as Q
-    plan = Q.QUERIES["clean_text"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
-    assert "hashpartitioning(event_id" in plan
