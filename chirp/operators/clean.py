@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chirp.functions.text import clean_text, first_mention
 from chirp.functions.timeparts import created_at_parts, strip_offset
+from chirp.sources.tables import delete_where
 
 
 def clean_tweets(df: DataFrame, strict: bool = False,
@@ -27,12 +28,6 @@ def clean_tweets(df: DataFrame, strict: bool = False,
     return df.withColumns(cols)
 
 
-def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
-    """Rows for which ``predicate`` is not true (SQL DELETE semantics: a
-    NULL predicate keeps the row)."""
-    return df.filter(~F.coalesce(predicate, F.lit(False)))
-
-
 def drop_null_tweets(df: DataFrame, drop_empty: bool = False) -> DataFrame:
     """``DELETE ... WHERE tweet IS NULL``; ``drop_empty`` also removes rows
     whose cleaned text is empty."""

@@ -1,6 +1,6 @@
 """Declared schemas (A07). All fields nullable, as in the landed data."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType,
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType,
                                LongType, StringType, StructField, StructType)
 
 # The 17-column flat tweet record landed from the stream.
@@ -68,17 +68,3 @@ TWEET_JSON = StructType([
         StructField("name", StringType(), True),
     ]), True),
 ])
-
-# Per-tweet sentiment table (scores stored as float, labels as text).
-SENTIMENT = StructType([
-    StructField("tweet", StringType(), True),
-    StructField("polarity", FloatType(), True),
-    StructField("subjectivity", FloatType(), True),
-    StructField("sentiment", StringType(), True),
-    StructField("context", StringType(), True),
-])
-
-# One-column token tables behind the top-k reports.
-HANDLES = StructType([StructField("retweeted_person", StringType(), True)])
-HASHTAGS = StructType([StructField("hashtags", StringType(), True)])
-MEDIA = StructType([StructField("media_url", StringType(), True)])

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +20,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
@@ -63,20 +58,27 @@ def update_where(df: DataFrame, column: str, value: Column,
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Overwrite table ``name`` with ``df`` even when ``df`` reads ``name``:
-    write a staging table first (cuts the lineage to the old files), then
-    swap it in. Returns the new table."""
-    stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
+    write a staging table first (cuts the lineage to the old files), set the
+    old table aside, put the new one in its place, then drop the old one. A
+    failure leaves either table under the name or the old one set aside.
+    Returns the new table."""
+    tag = uuid.uuid4().hex[:8]
+    stage, old = f"{name}__stage_{tag}", f"{name}__old_{tag}"
     df.write.mode("overwrite").format("parquet").saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    there = spark.catalog.tableExists(name)
+    if there:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if there:
+        drop_table(spark, old)
     return spark.table(name)
 
 
-def persist_reused(df: DataFrame) -> DataFrame:
-    """Cache only what is read two or more times (spills to disk)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def profile(df: DataFrame) -> DataFrame:
     """One pass: row count plus NULL and empty-string counts per column."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from chirp.session import scratch_path
@@ -79,8 +81,10 @@ def test_stream_ingest_edge_cases(spark):
              _event(5, entities={"hashtags": []})]
     spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(f"{root}/in")
     q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead", f"{root}/ckpt",
-                          available_now=True)
+                          available_now=True, counts=f"{root}/counts")
     q.awaitTermination()
+    n = S_in.batch_counts(spark, f"{root}/counts").first()
+    assert (n.lines, n.rejected, n.without_text, n.delivered, n.filtered_out) == (5, 1, 1, 3, 0)
     rows = by_id(S_in.read_ingested(spark, f"{root}/out"))
     assert sorted(rows) == [1, 4, 5]
     r1 = rows[1]
@@ -88,6 +92,7 @@ def test_stream_ingest_edge_cases(spark):
         ("tweet 1 line", "True", "None", "#climate #x", "F")
     assert rows[4].place_type == "" and rows[4].place == ""
     assert rows[5].hashtags is None
+    assert len(S_in.read_ingested(spark, f"{root}/out").select("dt", "hr", "batch").distinct().collect()) == 1
     dead = S_in.dead_letter_counts(spark, f"{root}/dead").agg(F.sum("rejected")).first()[0]
     assert dead == 1
     # the same function flattens the batch read of the same files
@@ -110,7 +115,7 @@ def test_sinks_roundtrip(spark):
     root = scratch_path(spark, "test-sinks")
     df = spark.createDataFrame([(1, "a,b", None), (2, " ", "x")], "k long, v string, w string")
     T.write_parquet(df, f"{root}/pq", partition_by=["k"])
-    assert T.read_parquet(spark, f"{root}/pq").count() == 2
+    assert spark.read.parquet(f"{root}/pq").count() == 2
     V.write_tsv_csv(df, f"{root}/csv")
     back = spark.read.option("sep", "\t").option("header", True).csv(f"{root}/csv")
     assert back.columns == ["k", "v", "w"] and back.count() == 2
@@ -131,3 +136,99 @@ def test_hour_folder_glob_and_recursive(spark):
     assert sorted(r.tweetid for r in globbed.collect()) == [0, 1, 2]
     rec = V.read_tweets_tsv(spark, root, realign=True, recursive=True)
     assert sorted(r.tweetid for r in rec.collect()) == [0, 1, 2]
+
+
+def test_replayed_batch_and_compaction(spark):
+    root = scratch_path(spark, "test-replay")
+    for day in ("07", "08"):
+        for b in (0, 1, 1):  # batch 1 is replayed
+            lines = [_event(100 * b + i, created_at=CA.replace("07", day)) for i in range(3)]
+            S_in.process_batch(spark.createDataFrame([(x,) for x in lines], "value string"), 10 * int(day) + b,
+                               f"{root}/out", f"{root}/dead")
+    out = S_in.read_ingested(spark, f"{root}/out")
+    assert out.count() == 12 and out.select("dt").distinct().count() == 2
+    for _ in range(2):
+        S_in.compact(spark, f"{root}/out", "2022-05-07", f"{root}/days")
+    day = spark.read.parquet(f"{root}/days")
+    assert day.count() == 6 and {str(r.dt) for r in day.select("dt").collect()} == {"2022-05-07"}
+
+
+def test_run_forever_restarts_a_failed_query():
+    class Query:
+        def __init__(self, fails):
+            self.fails = fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise RuntimeError("lost")
+
+    started = []
+
+    def start():
+        started.append(1)
+        return Query(len(started) < 3)
+
+    S_in.run_forever(start, pause_s=0)
+    assert len(started) == 3
+    started.clear()
+    with pytest.raises(RuntimeError):
+        S_in.run_forever(lambda: Query(True), pause_s=0, max_restarts=1)
+
+
+def test_track_takes_keywords_literally(spark):
+    df = J.decode_json(spark.createDataFrame(
+        [(_event(1, text="I like C++ here", entities=None),), (_event(2, text="axb", entities=None),),
+         (_event(3, text="see a.b now", entities=None),)], "value string"))
+    assert sorted(r.id for r in J.track(df, ["c++", "a.b"]).collect()) == [1, 3]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster_and_is_cleaned(spark, monkeypatch):
+    from chirp import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+    monkeypatch.setattr(session, "scratch_root", lambda s: f"{session.checkpoint_root(s)}/chirp/test-clean")
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert session.clean_scratch(spark) and not session.clean_scratch(spark)
+
+
+def test_view_keeps_every_event_with_gaps_in_doc_ids(spark):
+    from chirp.plans.tweet_view import events_with_text
+    root = scratch_path(spark, "test-gaps")
+    src = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{src}/documents.parquet").filter("doc_id % 3 <> 1").write.parquet(f"{root}/documents.parquet")
+    spark.read.parquet(f"{src}/events.parquet").write.parquet(f"{root}/events.parquet")
+    n = spark.read.parquet(f"{src}/events.parquet").count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    got = []
+    try:
+        for limit in ("-1", "10485760"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got.append(sorted((r.event_id, r.text or "") for r in events_with_text(spark, root).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got[0] == got[1] and len(got[0]) == n
+
+
+def test_replace_table_keeps_a_table_under_the_name(spark):
+    from chirp.sources import tables as T
+    T.save_table(spark.range(5), "chirp_swap")
+    try:
+        assert T.replace_table(spark, spark.table("chirp_swap").filter("id > 1"), "chirp_swap").count() == 3
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("chirp_swap__")]
+    finally:
+        T.drop_table(spark, "chirp_swap")
