@@ -17,12 +17,12 @@ from chirp.operators import prediction as P
 from chirp.operators import sentiment as S
 from chirp.plans.tables import load
 from chirp.plans.tweet_view import tweet_event_lines, tweet_events, tweet_view
-from chirp.session import scratch_path
+from chirp.session import scratch_path, stored
 from chirp.sources import json_tweets as J
 from chirp.sources import tables as T
 from chirp.sources import tsv as V
 from chirp.streaming import ingest as S_in
-from chirp.schemas import CLEAN_ADDED
+from chirp.schemas import CLEAN_ADDED, RAW_TWEET
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,13 @@ def lexicon_sentiment(spark, sf_dir):
     return S.score_sentiment(clean, "tweet_parse").select("tweetid", "polarity", "subjectivity")
 
 
+def lexicon_sentiment_join(spark, sf_dir):
+    """The same scores with the lexicon as a table."""
+    clean = C.drop_null_tweets(clean_view(spark, sf_dir)).select("tweetid", "tweet_parse")
+    scored = S.score_sentiment(clean, "tweet_parse", S.lexicon_frame(spark), "join", "tweetid")
+    return scored.select("tweetid", "polarity", "subjectivity")
+
+
 def sentiment_table(spark, sf_dir):
     return sentiments(spark, sf_dir).drop("tweetid")
 
@@ -104,7 +111,7 @@ def _counts(spark, sf_dir):
     sents = sentiments(spark, sf_dir).select("tweetid", "tweet")
     # sentiments holds no NULL text (drop_null_tweets), so N is its row count
     n_docs = sents.select(F.count(F.lit(1))).scalar()
-    return P.term_counts(P.token_rows(sents, "tweetid", "tweet"), "tweetid"), n_docs
+    return P.term_counts(sents, "tweetid", "tweet"), n_docs
 
 
 def vocabulary(spark, sf_dir):
@@ -112,16 +119,21 @@ def vocabulary(spark, sf_dir):
     return P.vocabulary(counts)
 
 
+def vocabulary_cut(spark, sf_dir):
+    """A vocabulary of 5,000 terms, fewer than the corpus has."""
+    counts, _ = _counts(spark, sf_dir)
+    return P.ranked_cut(P.term_totals(counts), 5000, [F.col("n").desc(), F.col("term").asc()])
+
+
 def idf_table(spark, sf_dir):
-    return P.idf_table(*_counts(spark, sf_dir))
+    t = P.idf_table(*_counts(spark, sf_dir))
+    return t.select("term", "doc_freq", F.round("idf", 9).alias("idf"))
 
 
 def tfidf(spark, sf_dir):
     counts, n_docs = _counts(spark, sf_dir)
     rows = P.tfidf(counts, "tweetid", n_docs)
-    return rows.groupBy("tweetid").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_tokens"),
-        F.sum(F.floor(F.col("tfidf") * 1000000)).alias("tfidf_micro"))
+    return rows.select("tweetid", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
 def label_index(spark, sf_dir):
@@ -152,11 +164,20 @@ def prediction_metrics(spark, sf_dir):
 def sentiment_lr(spark, sf_dir):
     """Stage 8: fit the TF-IDF + logistic-regression pipeline on the hash
     train side, return test-side predictions (rows-only check)."""
-    _, pred = P.fit_predict(sentiments(spark, sf_dir), how="hash", key="tweetid",
-                            handle_invalid="keep")
+    _, pred = P.fit_predict(sentiments(spark, sf_dir), how="hash", key="tweetid")
     return pred.select("tweetid", "tweet", "sentiment", "label", "prediction")
 
 
+def model_metrics(spark, sf_dir):
+    """Stage 8's end: the fitted model's test predictions, persisted with
+    their vectors, and accuracy and weighted F1 of what was written."""
+    _, pred = P.fit_predict(sentiments(spark, sf_dir), how="hash", key="tweetid")
+    path = scratch_path(spark, "predictions")
+    P.save_predictions(pred, path)
+    back = spark.read.parquet(path)
+    return P.metrics(back.select("label", "prediction"))
+
+
 def flatten_tweets(spark, sf_dir):
     ev = tweet_events(spark, sf_dir)
     return J.flatten_tweets(ev.filter(J.has_text(ev)))
@@ -181,15 +202,53 @@ def tsv_realign(spark, sf_dir):
     return V.read_tweets_tsv(spark, _tsv_files(spark, sf_dir), realign=True)
 
 
-def stream_ingest(spark, sf_dir):
-    """JSON lines derived from the tables -> availableNow stream -> Parquet
-    (dead letters aside) -> read back."""
+def _ingested(spark, sf_dir) -> str:
+    """JSON lines derived from the tables -> availableNow stream -> Parquet,
+    dead letters and counts aside. Returns the folder they lie in."""
     root = scratch_path(spark, "stream")
     tweet_event_lines(spark, sf_dir).write.mode("overwrite").text(f"{root}/in")
     q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead",
-                          f"{root}/checkpoint", available_now=True)
+                          f"{root}/checkpoint", available_now=True, counts=f"{root}/counts")
     q.awaitTermination()
-    return S_in.read_ingested(spark, f"{root}/out").select(*J.FLAT_COLUMNS)
+    return root
+
+
+def stream_ingest(spark, sf_dir):
+    return S_in.read_ingested(spark, f"{_ingested(spark, sf_dir)}/out").select(*J.FLAT_COLUMNS)
+
+
+def stream_rejects(spark, sf_dir):
+    """The rejected lines themselves, with their number."""
+    dead = f"{_ingested(spark, sf_dir)}/dead"
+    lines = spark.read.option("basePath", dead).text(f"{dead}/batch=*")
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_accounting(spark, sf_dir):
+    """What became of all events; the kinds add up to the lines."""
+    root = _ingested(spark, sf_dir)
+    kinds = ["lines", "rejected", "without_text", "delivered", "filtered_out"]
+    return S_in.batch_counts(spark, f"{root}/counts").agg(*[F.sum(k).alias(k) for k in kinds])
+
+
+def csv_sink(spark, sf_dir):
+    """The tweet view through the tab-separated copy with a header."""
+    path = scratch_path(spark, "csv")
+    V.write_tsv_csv(tweet_view(spark, sf_dir), path)
+    back = spark.read.option("sep", "\t").option("header", True).schema(RAW_TWEET).csv(path)
+    return back.select("tweetid", "user_name", "followers", "tweet", "retweet_count", "created_at")
+
+
+def parquet_sink(spark, sf_dir):
+    """The clean table through partitioned snappy Parquet."""
+    path = scratch_path(spark, "parquet")
+    T.write_parquet(clean_view(spark, sf_dir), path, partition_by=["day_of_week"])
+    return spark.read.parquet(path).select("tweetid", "tweet_parse", "day_of_week", "tweet_date")
+
+
+def table_profile(spark, sf_dir):
+    cols = ["tweetid", "tweet", "created_at", "hashtags_and_media", "place_type", "country"]
+    return T.profile(tweet_view(spark, sf_dir).select(*cols))
 
 
 def sink_roundtrip(spark, sf_dir):
@@ -210,9 +269,11 @@ def sink_roundtrip(spark, sf_dir):
         media = T.delete_where(media, F.col("media_url").isNull() | (F.trim("media_url") == "")
                                | (F.instr("media_url", "http") == 0))
         media = T.update_where(media, "media_url", F.replace("media_url", F.lit(","), F.lit("")))
-        return T.replace_table(spark, media, "tblmedia")
+        # a copy in the scratch folder outlives the database
+        return stored(T.replace_table(spark, media, "tblmedia"), "tblmedia")
     finally:
         spark.catalog.setCurrentDatabase(prev_db)
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
 def _live(spark, sf_dir):
@@ -243,21 +304,29 @@ QUERIES: dict[str, Query] = {
     "top_media": top_media,
     "term_weights": term_weights,
     "lexicon_sentiment": lexicon_sentiment,
+    "lexicon_sentiment_join": lexicon_sentiment_join,
     "sentiment_table": sentiment_table,
     "sentiment_mix": sentiment_mix,
     "tokenize_stopwords": tokenize_stopwords,
     "vocabulary": vocabulary,
+    "vocabulary_cut": vocabulary_cut,
     "idf_table": idf_table,
     "tfidf": tfidf,
     "label_index": label_index,
     "hash_split": hash_split,
     "prediction_metrics": prediction_metrics,
     "sentiment_lr": sentiment_lr,
+    "model_metrics": model_metrics,
     "flatten_tweets": flatten_tweets,
     "track_filter": track_filter,
     "tsv_positional": tsv_positional,
     "tsv_realign": tsv_realign,
     "stream_ingest": stream_ingest,
+    "stream_rejects": stream_rejects,
+    "stream_accounting": stream_accounting,
+    "csv_sink": csv_sink,
+    "parquet_sink": parquet_sink,
+    "table_profile": table_profile,
     "sink_roundtrip": sink_roundtrip,
     "tweets_by_hour": tweets_by_hour,
     "tweets_by_country": tweets_by_country,

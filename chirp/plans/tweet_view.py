@@ -11,19 +11,10 @@ listener did before landing.
 
 Nothing is filtered or truncated: the view has exactly one row per event.
 
-Join strategy (a document may back a third of all events, so the plan
-must not key the heavy work on ``doc_key``):
-
-* documents of bounded size -- on-disk size from the file listing (what
-  Catalyst's statistics report for a file scan) at most
-  ``BROADCAST_DOCS_BYTES`` -- are broadcast explicitly, and the event side
-  stays partitioned by its own rows: output follows the events, so a hot
-  document costs nothing extra. When the events arrive in fewer input
-  splits than ``spark.sql.shuffle.partitions`` (one small file scans as
-  one task), they are first hash-spread on ``event_id``; the bytes are
-  small, but every output row carries a whole text.
-* larger documents: a plain equi-join; Catalyst plans a sort-merge join
-  and AQE's skew-join splits a hot ``doc_key`` partition at runtime.
+The join is a plain left equi-join, so every event stays even where the
+document ids have gaps (its text is then NULL). Catalyst and AQE choose the
+physical join by size; a document may back a third of all events, and then
+AQE's skew join splits that key.
 """
 
 from __future__ import annotations
@@ -104,32 +95,13 @@ def tweet_columns() -> dict[str, Column]:
     }
 
 
-# Documents at most this big on disk are broadcast (snappy text expands
-# roughly 2-4x in memory, well inside the broadcast limit).
-BROADCAST_DOCS_BYTES = 64 * 1024 * 1024
-
-
-def plan_size_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; for a file scan it comes from
-    the file listing (bytes on disk, scaled to the selected columns)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): treat as large
-        return 1 << 62
-
-
 def events_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events ⋈ documents`` on ``doc_id = event_id % count(documents)``."""
+    """``events`` left join ``documents`` on ``doc_id = event_id % count(documents)``."""
     events = load(spark, sf_dir, "events")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     keyed = events.withColumn("doc_key", F.col("event_id") % n_docs)
-    if plan_size_bytes(docs) <= BROADCAST_DOCS_BYTES:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if keyed.rdd.getNumPartitions() < parts:
-            keyed = keyed.repartition(parts, "event_id")
-        return keyed.join(F.broadcast(docs), keyed["doc_key"] == docs["doc_id"], "inner")
-    return keyed.join(docs, keyed["doc_key"] == docs["doc_id"], "inner")
+    return keyed.join(docs, keyed["doc_key"] == docs["doc_id"], "left")
 
 
 def tweet_view(spark: SparkSession, sf_dir: str) -> DataFrame:
