@@ -10,7 +10,8 @@ only candidates: the removal groups by the chunk's text itself, which
 compares its bytes.
 
 A chunk qualifies with at least two lines and MIN_WORDS words, or as one
-line of at least LONG_LINE_WORDS words (a passage written as one line).
+line of at least LONG_LINE_WORDS words: a passage written as one line. For
+that, a line of as many spaces is a chunk of its own wherever it stands.
 
 Plan: chunk hashes (no text) are counted with map-side combination; only
 chunks with a repeated hash travel with their text; the removals, one row a
@@ -44,11 +45,13 @@ def _n_words(text: Column) -> Column:
 def with_chunks(df: DataFrame, text: str) -> DataFrame:
     """Adds ``_l_lines`` and ``_l_chunks``: array of (first, n) in lines."""
     df = df.withColumn("_l_lines", F.split(F.col(f"`{text}`"), "\n"))
-    df = df.withColumn("_l_hash", F.transform("_l_lines", lambda x: F.xxhash64(x)))
-    h, lines = F.col("_l_hash"), F.col("_l_lines")
+    df = df.withColumns({
+        "_l_hash": F.transform("_l_lines", lambda x: F.xxhash64(x)),
+        "_l_long": F.transform("_l_lines", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) >= LONG_LINE_WORDS - 1)})
+    h, lines, long = F.col("_l_hash"), F.col("_l_lines"), F.col("_l_long")
     df = df.withColumn("_l_ends", F.filter(
         F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda i: (i == F.size(lines) - 1)
+        lambda i: (i == F.size(lines) - 1) | F.get(long, i) | F.coalesce(F.get(long, i + 1), F.lit(False))
         | (F.pmod(F.xxhash64(F.coalesce(F.get(h, i - 1), F.lit(0)), F.get(h, i)), F.lit(CHUNK_LINES)) == 0)))
     ends = F.col("_l_ends")
     first = lambda k: F.coalesce(F.get(ends, k - 1) + 1, F.lit(0))

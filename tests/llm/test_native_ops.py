@@ -101,7 +101,7 @@ def brute_chunks(spark, text):
     out, cur = [], []
     for i, x in enumerate(lines):
         cur.append(x)
-        if end[i] or i == len(lines) - 1:
+        if end[i] or i == len(lines) - 1 or any(x.count(" ") >= L.LONG_LINE_WORDS - 1 for x in lines[i:i + 2]):
             out.append(cur)
             cur = []
     return out
@@ -129,11 +129,13 @@ def test_line_dedup_matches_brute_force(spark):
 
 def test_line_dedup_planted_passage_and_edges(spark):
     passage = "\n".join(f"passage line {i} " + " ".join(f"p{i}x{k}" for k in range(12)) for i in range(12))
-    more = spark.createDataFrame([(20, "before twenty\n" + passage + "\nafter"), (21, "x\ny y\nz z z\n" + passage + "\nq")], "doc_id long, text string")
+    alone = " ".join(f"one line word {i}" for i in range(20))
+    more = spark.createDataFrame([(22, f"start\n{alone}\nrest of it"), (23, f"a\nb\n{alone}\nother"), (20, "before twenty\n" + passage + "\nafter"), (21, "x\ny y\nz z z\n" + passage + "\nq")], "doc_id long, text string")
     docs = edge_docs(spark).unionByName(more, allowMissingColumns=True)
     out = {(r["doc_id"], r["text"] is None): r for r in L.line_dedup(docs).collect() if r["doc_id"]}
     assert out[20, False]["n_removed_lines"] == 0
     assert out[21, False]["n_removed_lines"] >= 6 and "z z z" in out[21, False]["text"]
+    assert out[22, False]["n_removed_lines"] == 0 and out[23, False]["text"] == "a\nb\nother"
     assert out[3, True]["text"] is None and out[4, False]["text"] == ""
     assert L.line_dedup(docs).count() == docs.count()
     assert L.line_dedup(empty_docs(spark)).count() == 0
