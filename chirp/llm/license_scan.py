@@ -153,7 +153,7 @@ def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def template_table(spark: SparkSession) -> DataFrame:
-    """(family, w, sh, phrase): words, shingles and the padded word string."""
+    """(family, w, sh): a template's words and shingles."""
     rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     df = spark.createDataFrame(rows, "family string, t string").select("family", norm_words(F.col("t")).alias("w"))
     return df.select("family", "w", shingles(F.col("w")).alias("sh"))
@@ -162,7 +162,6 @@ def template_table(spark: SparkSession) -> DataFrame:
 def similarity(template_shingles: Column, w: Column) -> Column:
     """Share of the template's shingles in a paragraph's words. The words of
     a template shorter than a shingle must stand in it as a whole."""
-    # a shorter template is one shingle of its own length: looked up as words
     text = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
     held = F.filter(template_shingles, lambda s: F.contains(text, F.concat(F.lit(" "), s, F.lit(" "))))
     return F.size(held) / F.size(template_shingles)
@@ -171,12 +170,10 @@ def similarity(template_shingles: Column, w: Column) -> Column:
 def training_rows(spark: SparkSession, pars: DataFrame, max_unknown: int = MAX_UNKNOWN) -> DataFrame:
     """(family, w, part): part 0 of 5 calibrates, the others fit."""
     t = template_table(spark)
-    notices = [" ".join(x.lower().split()) for ts in TEMPLATES.values() for x in ts]
-    sure = F.lit(" ".join(sorted({n for n in notices})))
-    words_of_notices = F.array_distinct(norm_words(sure))
+    words_of_notices = F.array_distinct(norm_words(F.lit(" ".join(x for ts in TEMPLATES.values() for x in ts))))
     # paragraphs of the corpus that share under half of their words with notices
     taken = F.size(F.array_intersect("w", words_of_notices)) * 2 < F.size(F.array_distinct("w"))
-    corpus = stored(pars.filter(taken).select("w", F.xxhash64("w").alias("h")).orderBy("h").limit(max_unknown)
+    corpus = stored(pars.filter(taken).select("w", F.xxhash64("w", "d", "paragraph").alias("h")).orderBy("h").limit(max_unknown)
                     .select("w", "h"), "license_unknown")
     said = spark.createDataFrame([(s,) for s in SPEAKING_OF], "t string").select(norm_words(F.col("t")).alias("w"))
     unknown = corpus.select(F.lit(UNKNOWN).alias("family"), "w").union(said.select(F.lit(UNKNOWN), "w"))
@@ -212,7 +209,6 @@ def train(spark: SparkSession, pars: DataFrame, max_unknown: int = MAX_UNKNOWN)
     rows = stored(_vectors(training_rows(spark, pars, max_unknown)).select("features", label.cast("double").alias("label"), "part")
                   .coalesce(2), "license_rows")  # bounded by the templates and max_unknown
     model = LogisticRegression(maxIter=40, regParam=1e-3, family="multinomial").fit(
-        # the last class has to be there: the sentences hold it
         rows.filter("part <> 0"))
     held = model.transform(rows.filter("part = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
     loss = [F.avg(-F.log(F.greatest(F.get(_softmax(F.col("raw"), t), F.col("label").cast("int")), F.lit(1e-12)))).alias(f"t{i}")
