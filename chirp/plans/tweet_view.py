@@ -14,7 +14,9 @@ Nothing is filtered or truncated: the view has exactly one row per event.
 The join is a plain left equi-join, so every event stays even where the
 document ids have gaps (its text is then NULL). Catalyst and AQE choose the
 physical join by size; a document may back a third of all events, and then
-AQE's skew join splits that key.
+AQE's skew join splits that key. The events, narrow rows, are first spread
+by their id: each output row carries a whole text, so the work must not
+stay in the few splits an events file may have.
 """
 
 from __future__ import annotations
@@ -100,7 +102,8 @@ def events_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    keyed = events.withColumn("doc_key", F.col("event_id") % n_docs)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = events.withColumn("doc_key", F.col("event_id") % n_docs).repartition(parts, "event_id")
     return keyed.join(docs, keyed["doc_key"] == docs["doc_id"], "left")
 
 
