@@ -28,6 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,7 +255,7 @@ def encoder(path: str) -> Encoder:
 def chunks(batches, column: str, chars: int = CHUNK_CHARS):
     """Record batches cut or joined to about ``chars`` characters of text."""
     for b in batches:
-        size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
         start = 0
         while start < b.num_rows:
             done = size[start - 1] if start else 0
@@ -267,7 +268,7 @@ def gathered(batches, column: str, chars: int = CHUNK_CHARS):
     """Small record batches joined up to about ``chars``, as tables' batches."""
     held, size = [], 0
     for b in chunks(batches, column, chars):
-        n = pa.compute.sum(pa.compute.binary_length(b.column(column))).as_py() or 0
+        n = pc.sum(pc.binary_length(b.column(column))).as_py() or 0
         if held and size + n > chars:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, size = [], 0
