@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,7 +229,7 @@ def _search(reps: DataFrame, centres: dict, overlap: int, threshold: float) -> t
     def assign(batches):
         for b in batches:
             groups: dict = {}
-            for i, (lab, d) in enumerate(zip(b.column("label").to_pylist(), pa.compute.list_value_length(b.column("v")).to_pylist())):
+            for i, (lab, d) in enumerate(zip(b.column("label").to_pylist(), pc.list_value_length(b.column("v")).to_pylist())):
                 groups.setdefault((lab, d), []).append(i)
             take, first, lists = [], [], []
             for key, at in groups.items():
@@ -291,7 +292,7 @@ def exact_links(reps: DataFrame, threshold: float = THRESHOLD, queries: int = AU
         total: dict[int, int] = {}
         for b in batches:
             groups: dict = {}
-            for i, (lab, d) in enumerate(zip(b.column("label").to_pylist(), pa.compute.list_value_length(b.column("v")).to_pylist())):
+            for i, (lab, d) in enumerate(zip(b.column("label").to_pylist(), pc.list_value_length(b.column("v")).to_pylist())):
                 groups.setdefault((lab, d), []).append(i)
             for key, at in groups.items():
                 if key not in shared.value:
