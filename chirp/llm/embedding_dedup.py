@@ -44,7 +44,7 @@ from chirp.llm.common import components, stored
 THRESHOLD = 0.93
 SHARD_ROWS = 800
 MAX_CENTRES = 65_536
-OVERLAP = 4
+OVERLAP = 2
 NEAR, RANDOM, DEGREE, ALPHA = 32, 16, 24, 1.2
 BEAM = 24
 BLOCK = 256
