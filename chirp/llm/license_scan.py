@@ -145,11 +145,16 @@ def shingles(w: Column, k: int = SHINGLE_WORDS) -> Column:
         lambda i: F.array_join(F.slice(w, i, k), " ")))
 
 
-def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, sig, paragraph, w): the words of every paragraph that has some."""
+def raw_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d, sig, paragraph, par): every line of every text."""
     t = F.col(f"`{text}`")
-    return (docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), F.posexplode(F.split(t, "\n")).alias("paragraph", "par"))
-            .select("d", "sig", "paragraph", norm_words(F.col("par")).alias("w")).filter("size(w) > 0"))
+    return docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"),
+                       F.posexplode(F.split(t, "\n")).alias("paragraph", "par"))
+
+
+def with_words(pars: DataFrame) -> DataFrame:
+    """(d, sig, paragraph, w): the words of the paragraphs that have some."""
+    return pars.select("d", "sig", "paragraph", norm_words(F.col("par")).alias("w")).filter("size(w) > 0")
 
 
 def template_table(spark: SparkSession) -> DataFrame:
@@ -173,8 +178,11 @@ def training_rows(spark: SparkSession, pars: DataFrame, max_unknown: int = MAX_U
     words_of_notices = F.array_distinct(norm_words(F.lit(" ".join(x for ts in TEMPLATES.values() for x in ts))))
     # paragraphs of the corpus that share under half of their words with notices
     taken = F.size(F.array_intersect("w", words_of_notices)) * 2 < F.size(F.array_distinct("w"))
-    corpus = stored(pars.filter(taken).select("w", F.xxhash64("w", "d", "paragraph").alias("h")).orderBy("h").limit(max_unknown)
-                    .select("w", "h"), "license_unknown")
+    # the sample is drawn before anything is computed on the paragraphs
+    drawn = (pars.withColumn("h", F.xxhash64("d", "sig", "paragraph")).filter(F.length("par") > 0)
+             .orderBy("h").limit(2 * max_unknown))
+    corpus = stored(drawn.select(norm_words(F.col("par")).alias("w"), "h").filter("size(w) > 0").filter(taken)
+                    .orderBy("h").limit(max_unknown), "license_unknown")
     said = spark.createDataFrame([(s,) for s in SPEAKING_OF], "t string").select(norm_words(F.col("t")).alias("w"))
     unknown = corpus.select(F.lit(UNKNOWN).alias("family"), "w").union(said.select(F.lit(UNKNOWN), "w"))
     w = F.col("w")
@@ -222,9 +230,9 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """(d, sig, paragraph, family, probability, similarity) of every
     paragraph that declares a licence."""
     spark = docs.sparkSession
-    pars = paragraphs(docs, doc_id, text)
+    pars = raw_paragraphs(docs, doc_id, text)
     model, temperature = train(spark, pars)
-    raw = model.transform(_vectors(pars)).select("d", "sig", "paragraph", "w", vector_to_array("rawPrediction").alias("raw"))
+    raw = model.transform(_vectors(with_words(pars))).select("d", "sig", "paragraph", "w", vector_to_array("rawPrediction").alias("raw"))
     top = F.array_max("raw")
     # under the best class's exp(0): the probability of the best class
     p = 1 / F.aggregate("raw", F.lit(0.0), lambda a, x: a + F.exp((x - F.array_max("raw")) / temperature))
