@@ -1,25 +1,34 @@
-"""Line dedup (native): content-defined chunks of lines.
-
-Every line is hashed; a rolling hash over each line and the one before it
-decides whether a chunk ends there (on average every CHUNK_LINES lines), so
-boundaries move with the content when lines are inserted or removed above.
-A chunk of several lines that occurs more than once in the corpus (in one
-or several documents) is kept where it occurs first -- smallest doc_id,
-then place in the document -- and removed everywhere else. Equal hashes are
-only candidates: the removal groups by the chunk's text itself, which
-compares its bytes.
-
-A chunk qualifies with at least two lines and MIN_WORDS words, or as one
-line of at least LONG_LINE_WORDS words: a passage written as one line. For
-that, a line of as many spaces is a chunk of its own wherever it stands.
-
-Plan: chunk hashes (no text) are counted with map-side combination; only
-chunks with a repeated hash travel with their text; the removals, one row a
-document, are joined back. Hot chunks are combined before the shuffle, and
+"""Line dedup (native): content-defined runs of lines.
+
+A repeated run of lines is kept where it occurs first -- smallest doc_id,
+then place in the document -- and removed everywhere else. A run qualifies
+with at least two lines and MIN_WORDS words, or with LONG_LINE_WORDS words
+on any number of lines.
+
+``whole``: from every line with words two windows are cut, the shortest
+qualifying run that starts there and the one that ends there. They depend on
+nothing but those lines, so a repeated passage holds the same windows
+wherever it stands, and the windows inside a qualifying passage cover all of
+it (but empty lines at its edges). A line goes when it lies in a window that
+occurs earlier. Windows that overlap their own first occurrence leave its
+lines. The first of all occurrences of a line in the corpus always stays.
+
+Otherwise (the cheaper cut): a rolling hash over each line and the one
+before it decides whether a chunk ends there (on average every CHUNK_LINES
+lines), a line of LONG_LINE_WORDS - 1 spaces is a chunk of its own, and only
+qualifying chunks are compared; a passage loses only the chunks that lie
+inside it.
+
+Equal 64-bit hashes are only candidates: the removal groups by the SHA-256
+of the run's bytes, so no text travels.
+
+Plan: hashes are counted with map-side combination; windows or chunks with a
+repeated hash are stored with their digest; the removals, one row a
+document, are joined back. Hot runs are combined before the shuffle, and
 AQE splits the joins' hot keys.
 
 Defined cases: a null text stays null, an empty one empty; a document whose
-every chunk was a repeat keeps its row with an empty text. A null doc_id
+every line was a repeat keeps its row with an empty text. A null doc_id
 orders first. Rows that repeat doc_id and text count as one document and
 stay alike. Extra columns are carried; input columns named like an added
 column are replaced. An empty table gives an empty result.
@@ -59,63 +68,99 @@ def with_chunks(df: DataFrame, text: str) -> DataFrame:
         ends, lambda e, k: F.struct(first(k).alias("first"), (e - first(k) + 1).alias("n"))))
 
 
-def _chunk_text(chunk: Column) -> Column:
-    return F.array_join(F.slice(F.col("_l_lines"), chunk["first"] + 1, chunk["n"]), "\n")
-
-
-def _occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(d, sig, k, body, h) a chunk that may qualify, per distinct document."""
+def with_windows(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_l_lines`` and ``_l_windows``: array of (first, n) in lines, the
+    shortest qualifying run from each line with words down and up."""
+    df = df.withColumn("_l_lines", F.split(F.col(f"`{text}`"), "\n"))
+    df = df.withColumn("_l_full", F.filter(
+        F.transform("_l_lines", lambda x, i: F.struct(i.alias("i"), _n_words(x).alias("w"))), lambda x: x["w"] > 0))
+    full = F.col("_l_full")
+
+    def end(k: Column, step: int) -> Column:
+        """The other end of the run; null if the text ends before."""
+        words = F.get(full, k)["w"]
+        out = F.when(words >= LONG_LINE_WORDS, F.get(full, k)["i"])
+        for j in range(1, MIN_WORDS):  # each of the lines has a word
+            other = F.get(full, k + j * step)
+            words = words + other["w"]
+            out = out.when(words >= MIN_WORDS, other["i"])
+        return out
+
+    window = lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("n"))
+    down = F.transform("_l_full", lambda x, k: window(x["i"], end(k, 1)))
+    up = F.transform("_l_full", lambda x, k: window(end(k, -1), x["i"]))
+    return df.withColumn("_l_windows", F.array_distinct(F.filter(F.concat(down, up), lambda w: w["n"].isNotNull())))
+
+
+def _occurrences(docs: DataFrame, doc_id: str, text: str, whole: bool) -> DataFrame:
+    """(d, sig, first, n, h, digest) a window (else a chunk), per row; no
+    digest: does not qualify."""
     t = F.col(f"`{text}`")
-    d = with_chunks(docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), t.alias("t")), "t")
-    d = d.select("d", "sig", F.posexplode(F.transform(
-        "_l_chunks", lambda c: F.struct(c["n"].alias("n"), _chunk_text(c).alias("body")))).alias("k", "c"))
+    d = (with_windows if whole else with_chunks)(
+        docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), t.alias("t")), "t")
+    d = d.select("d", "sig", F.explode(F.transform("_l_windows" if whole else "_l_chunks", lambda c: F.struct(
+        c["first"].alias("first"), c["n"].alias("n"),
+        F.array_join(F.slice(F.col("_l_lines"), c["first"] + 1, c["n"]), "\n").alias("body")))).alias("c"))
     body = F.col("c.body")
-    # a text of w words has at least 2 w - 1 characters
-    return (d.filter(((F.col("c.n") > 1) & (F.length(body) >= 2 * MIN_WORDS - 1))
-                     | (F.length(body) >= 2 * LONG_LINE_WORDS - 1))
-            .select("d", "sig", "k", F.col("c.n").alias("n"), body.alias("body"), F.xxhash64(body).alias("h")))
-
-
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, sig, drop): per document the numbers of its chunks to remove."""
-    occ = _occurrences(docs, doc_id, text)
+    if not whole:  # a text of w words has at least 2 w - 1 characters
+        d = d.filter(((F.col("c.n") > 1) & (F.length(body) >= 2 * MIN_WORDS - 1)) | (F.length(body) >= 2 * LONG_LINE_WORDS - 1))
+    sure = F.lit(True)
+    if not whole:
+        words = _n_words(body)
+        sure = (words >= LONG_LINE_WORDS) | ((F.col("c.n") > 1) & (words >= MIN_WORDS))
+    return d.select("d", "sig", "c.first", "c.n", F.xxhash64(body).alias("h"),
+                    F.when(sure, F.unhex(F.sha2(body, 256))).alias("digest"))
+
+
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """(d, sig, drop): per document the numbers of its lines to remove."""
+    occ = _occurrences(docs, doc_id, text, whole)
     counts = occ.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    words = _n_words(F.col("body"))
-    cand = stored(occ.join(counts, "h")
-                  .filter((words >= LONG_LINE_WORDS) | ((F.col("n") > 1) & (words >= MIN_WORDS))), "line_chunks")
-    place = F.struct("d", "k", "sig")
-    first = (cand.groupBy("h", "body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
-    # one hash rarely stands for two texts, but then each has its own first
-    drop = cand.join(first, ["h", "body"]).filter(~place.eqNullSafe(F.col("first")))
-    return drop.groupBy("d", "sig").agg(F.sort_array(F.collect_set("k")).alias("drop"))
-
-
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text`` (``n_chars``, if
-    there, is set to the new length) and ADDED: lines before, lines removed,
-    numbers of the removed chunks."""
+    cand = stored(occ.filter("digest is not null").join(counts, "h").drop("h"), "line_runs")
+    place = F.struct("d", "first", "sig")
+    earliest = (cand.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+                .filter(~F.col("low").eqNullSafe(F.col("high"))).drop("high"))
+    later = cand.join(earliest, "digest").filter(~place.eqNullSafe(F.col("low")))
+    # a run that overlaps its own first occurrence leaves the lines of that
+    own = F.col("d").eqNullSafe(F.col("low.d")) & (F.col("sig") == F.col("low.sig"))
+    later = later.select("d", "sig", F.when(own, F.greatest("first", F.col("low.first") + F.col("n"))).otherwise(F.col("first")).alias("a"),
+                         (F.col("first") + F.col("n") - 1).alias("b"))
+    return later.groupBy("d", "sig").agg(F.sort_array(F.array_distinct(F.flatten(
+        F.collect_set(F.sequence("a", "b"))))).alias("drop"))
+
+
+def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """``docs`` with repeated runs of lines taken out of ``text`` (``n_chars``,
+    if there, is set to the new length) and ADDED: lines before, lines removed,
+    first lines of the removed runs."""
     base = without(docs, ADDED)
-    gone = removals(base, doc_id, text).select(F.col("d").alias("_l_d"), F.col("sig").alias("_l_sig"),
+    gone = removals(base, doc_id, text, whole).select(F.col("d").alias("_l_d"), F.col("sig").alias("_l_sig"),
                                                F.col("drop").alias("_l_drop"))
     t = F.col(f"`{text}`")
     j = base.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_l_d")) & (F.xxhash64(t) == F.col("_l_sig")), "left")
     # only documents that lose something are cut into lines again
-    j = with_chunks(j.withColumn("_l_t", F.when(F.col("_l_drop").isNotNull(), t)), "_l_t")
-    j = j.withColumn("_l_keep", F.filter("_l_chunks", lambda c, k: ~F.array_contains("_l_drop", k)))
-    kept = F.array_join(F.transform("_l_keep", _chunk_text), "\n")
-    new = F.when(F.col("_l_drop").isNotNull(), kept).otherwise(t)
-    lost = F.size("_l_lines") - F.aggregate("_l_keep", F.lit(0), lambda a, c: a + c["n"])
+    drop = F.col("_l_drop")
+    j = j.withColumn("_l_all", F.split(F.when(drop.isNotNull(), t), "\n"))
+    # the kept lines are what lies between two neighbours in the sorted numbers
+    edges = F.concat(F.array(F.lit(-1)), drop, F.array(F.size("_l_all")))
+    j = j.withColumn("_l_edges", F.when(drop.isNotNull(), edges))
+    j = j.withColumn("_l_keep", F.flatten(F.transform("_l_edges", lambda e, k: F.when(
+        k > 0, F.slice("_l_all", F.get("_l_edges", k - 1) + 2, e - F.get("_l_edges", k - 1) - 1))
+        .otherwise(F.array().cast("array<string>")))))
+    kept = F.array_join("_l_keep", "\n")
+    new = F.when(drop.isNotNull(), kept).otherwise(t)
+    lost = F.size(drop)
+    runs = F.filter(drop, lambda i, k: F.coalesce(F.get(drop, k - 1) != i - 1, F.lit(True)))
     cols = []
     for c in base.columns:
         if c == text:
             cols.append(new.alias(c))
         elif c.lower() == "n_chars":
-            cols.append(F.when(F.col("_l_drop").isNotNull(), F.length(kept).cast("long"))
+            cols.append(F.when(drop.isNotNull(), F.length(kept).cast("long"))
                         .otherwise(F.col(f"`{c}`").cast("long")).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
     return j.select(*cols,
                     F.coalesce(F.size(F.split(t, "\n")), F.lit(0)).cast("long").alias("n_lines"),
-                    F.coalesce(F.when(F.col("_l_drop").isNotNull(), lost), F.lit(0)).cast("long").alias("n_removed_lines"),
-                    F.coalesce("_l_drop", F.array().cast("array<int>")).alias("removed_chunks"))
+                    F.coalesce(F.when(drop.isNotNull(), lost), F.lit(0)).cast("long").alias("n_removed_lines"),
+                    F.coalesce(runs, F.array().cast("array<int>")).alias("removed_chunks"))

@@ -97,7 +97,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup(docs)
+    return line_dedup(docs, whole=True)
 
 
 QUERIES = {
