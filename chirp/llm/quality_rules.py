@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from chirp.llm.common import NOT_SPACE, stored, without, words
 
 WINDOW = 5
+VOCABULARY_WORDS = 100
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 THRESHOLD = 0.5
@@ -36,13 +37,15 @@ TOLERANCE = 1e-4
 # document bad, and each sees only one kind of defect, so what it says of a
 # bad document is right in some part of cases. Without the ranges EM takes
 # the most frequent kind of defect for the class of bad documents and the
-# rules for all other kinds as wrong.
+# rules for all other kinds as wrong. With all good votes but one, one bad
+# vote still rejects; a rule must therefore say bad only of what no clean
+# text shows (repetition: what fails the base rules).
 START = {"prior": 0.8, "good": 0.99, "bad": 0.25}
 GOOD_RANGE, BAD_RANGE = (0.99, 0.9999), (0.1, 0.4)
 
 RULES = ("symbols", "symbol_chars", "word_length", "capitals", "repetition", "dup_lines", "vocabulary", "shouting")
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_distinct_words", "n_upper", "n_shouts")
+            "n_lines", "n_block_distinct", "n_upper", "n_shouts")
 
 
 def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -78,6 +81,10 @@ def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None =
     p = F.col("_q_p")
     covered = F.aggregate(F.transform(p, lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(p, j + 1) - x, F.lit(WINDOW)))),
                           F.lit(0), lambda a, x: a + x)
+    # distinct words of each VOCABULARY_WORDS words, as the share of a whole text falls with its length
+    last = F.greatest(F.floor((F.size(h) - 1) / VOCABULARY_WORDS), F.lit(0)).cast("int")
+    d = d.withColumn("_q_b", F.transform(F.sequence(F.lit(0), last), lambda i: F.size(
+        F.array_distinct(F.slice(h, i * VOCABULARY_WORDS + 1, VOCABULARY_WORDS)))))
     n = lambda c: c.cast("long")
     return d.select(
         *[F.col(f"`{c}`") for c in keep],
@@ -87,7 +94,7 @@ def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None =
         n(F.size("_q_l") - F.size(F.array_distinct("_q_l"))).alias("n_dup_lines"),
         n(F.coalesce(covered, F.lit(0))).alias("n_repeat_words"),
         n(F.size("_q_l")).alias("n_lines"),
-        n(F.size(F.array_distinct("_q_h"))).alias("n_distinct_words"),
+        n(F.aggregate("_q_b", F.lit(0), lambda a, x: a + x)).alias("n_block_distinct"),
         n(F.regexp_count("_q_t", F.lit("\\p{Lu}"))).alias("n_upper"),
         n(F.regexp_count("_q_t", F.lit("[!?]"))).alias("n_shouts"))
 
@@ -102,9 +109,9 @@ def _rules() -> dict[str, tuple[Column, Column]]:
         "word_length": ((c("word_chars") > 10 * w) | (c("word_chars") < 3 * w),
                         (c("word_chars") >= 4 * w) & (c("word_chars") <= 7 * w)),
         "capitals": (c("n_upper") * 10 > 3 * c("word_chars"), c("n_upper") * 10 <= c("word_chars")),
-        "repetition": (c("n_repeat_words") * 10 > w, c("n_repeat_words") * 50 <= w),
+        "repetition": (c("n_repeat_words") * 100 > MAX_REPEAT_PERCENT * w, c("n_repeat_words") * 50 <= w),
         "dup_lines": (c("n_dup_lines") * 2 > c("n_lines"), c("n_dup_lines") * 5 <= c("n_lines")),
-        "vocabulary": ((w >= 50) & (c("n_distinct_words") * 10 < 3 * w), c("n_distinct_words") * 2 >= w),
+        "vocabulary": ((w >= 50) & (c("n_block_distinct") * 10 < 3 * w), c("n_block_distinct") * 2 >= w),
         "shouting": (c("n_shouts") * 5 > w, c("n_shouts") * 20 <= w),
     }
 
