@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chirp.session import stored
 
@@ -28,6 +29,26 @@ def without(df: DataFrame, names) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def numbered(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``df`` with ``pos`` (0, 1, ... in each value of ``group``, null being a
+    value, by ``order``, which must be total) and ``n``, the group's rows.
+
+    Rows are range-partitioned by (group, order), so one group may fill many
+    partitions, and stored with their place in the partition; only a row
+    count per partition and one row per group are joined to them."""
+    keys = [F.col(group), *[F.col(c) for c in order]]
+    pid = F.spark_partition_id()
+    ranged = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
+        "*", pid.alias("_pid"), (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("_i")), "numbered")
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).select(
+        "_pid", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    placed = ranged.join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + F.col("_i"))
+    starts = placed.groupBy(F.col(group).alias("_k")).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("n"))
+    return placed.join(starts, F.col(group).eqNullSafe(F.col("_k"))).select(
+        *df.columns, (F.col("_g") - F.col("_start")).alias("pos"), "n")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40) -> DataFrame:
     """Connected components of an undirected edge list: (node, component),
     component being the smallest node id reachable. Nodes without an edge

@@ -12,11 +12,14 @@ from chirp.llm.common import table
 from chirp.llm.embedding_dedup import embedding_dedup
 from chirp.llm.license_scan import license_scan
 from chirp.llm.line_dedup import line_dedup
+from chirp.llm.merkle import merkle_manifest
 from chirp.llm.packing import pack
 from chirp.llm.quality_classifier import classify, fit
 from chirp.llm.quality_rules import quality_rules
 from chirp.llm.sharding import shard_documents
 from chirp.llm.simhash import simhash_dedup
+from chirp.llm.topk_search import topk_search
+from chirp.llm.whitening import whitening
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +103,103 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs, whole=True)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle_manifest(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+                      F.coalesce(F.size("copied_nodes"), F.lit(0)).alias("n_copied"))
+
+
+# CRC-32 of the decimal id, bit by bit; then the levels of the lang trees and
+# of the tree over them, up to the largest tree there is.
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, text, row_number() OVER () AS r,
+    (CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END)
+    || (CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END)
+    || (CASE WHEN n_chars IS NULL THEN '-' ELSE length(CAST(n_chars AS VARCHAR)) || ':' || n_chars END) AS middle,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE length(CAST(doc_id AS VARCHAR)) || ':' || doc_id END AS first
+  FROM documents
+), tampered AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS new_text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, bit: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 3 = 0 AS changed
+  FROM docs
+), hashed AS (
+  SELECT doc_id, lang, r, changed,
+    sha256(first || middle || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    sha256(first || middle || CASE WHEN text IS NULL THEN '-' ELSE strlen(new_text) || ':' || new_text END) AS new_leaf
+  FROM tampered
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed
+), tree AS (
+  SELECT lang, 0 AS lvl, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), max((n + 7) // 8)
+  FROM tree WHERE n > 1 GROUP BY lang, lvl, pos // 8
+), langs AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS spot, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, spot, subroot AS digest, n FROM langs
+  UNION ALL
+  SELECT lvl + 1, spot // 8, sha256(string_agg(digest, '' ORDER BY spot)), max((n + 7) // 8)
+  FROM top WHERE n > 1 GROUP BY lvl, spot // 8
+), step AS (
+  SELECT l.r, t.lvl, CAST(l.pos // CAST(power(8, t.lvl) AS BIGINT) AS BIGINT) AS own, t.pos AS spot, t.digest
+  FROM leaves l JOIN tree t ON l.lang IS NOT DISTINCT FROM t.lang AND t.n > 1
+    AND t.pos // 8 = l.pos // CAST(power(8, t.lvl + 1) AS BIGINT)
+  UNION ALL
+  SELECT l.r, 100 + t.lvl, CAST(g.spot // CAST(power(8, t.lvl) AS BIGINT) AS BIGINT), t.spot, t.digest
+  FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang
+  JOIN top t ON t.n > 1 AND t.spot // 8 = g.spot // CAST(power(8, t.lvl + 1) AS BIGINT)
+), sides AS (
+  SELECT r, lvl, coalesce(string_agg(digest, '' ORDER BY spot) FILTER (WHERE spot < own), '') AS lft,
+    coalesce(string_agg(digest, '' ORDER BY spot) FILTER (WHERE spot > own), '') AS rgt
+  FROM step GROUP BY r, lvl
+), ways AS (
+  SELECT r, sha256(string_agg(lft || rgt, '' ORDER BY lvl)) AS proof, list([lft, rgt] ORDER BY lvl) AS way
+  FROM sides GROUP BY r
+), folded AS (
+  SELECT l.r, coalesce(w.way, []) AS way, 0 AS i, CASE WHEN l.changed THEN l.new_leaf ELSE l.leaf END AS digest
+  FROM leaves l LEFT JOIN ways w USING (r)
+  UNION ALL
+  SELECT r, way, i + 1, sha256(way[i + 1][1] || digest || way[i + 1][2]) FROM folded WHERE i < len(way)
+)
+SELECT l.doc_id, l.leaf, g.subroot, t.digest AS root, coalesce(w.proof, sha256('')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = t.digest AS verified,
+  CAST(CASE WHEN l.changed THEN len(f.way) ELSE 0 END AS INTEGER) AS n_copied
+FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang
+JOIN folded f ON f.r = l.r AND f.i = len(f.way) LEFT JOIN ways w ON w.r = l.r CROSS JOIN (SELECT digest FROM top WHERE n = 1) t
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
+OP13_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, c.r,
+    CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.r <> c.r WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id NULLS LAST, r) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
@@ -111,6 +211,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
+    "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
+    "op13_topk": op13_topk,
 }
 
-ORACLE = {"op3_chat_format": OP3_SQL}
+ORACLE = {"op3_chat_format": OP3_SQL, "op11_merkle": OP11_SQL, "op13_topk": OP13_SQL}
