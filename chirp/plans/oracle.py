@@ -289,6 +289,7 @@ def sentiment_oracles() -> dict[str, str]:
         "SELECT sentiment, context, count(*) AS n_tweets FROM sentiments GROUP BY sentiment, context",
         extra=(SENT_IN, scored, SENTIMENT))
     q["lexicon_sentiment_join"] = q["lexicon_sentiment"]
+    q["sentiment_scorer"] = q["lexicon_sentiment"]
     q["label_index"] = q_view(
         "SELECT sentiment, n, CAST(row_number() OVER (ORDER BY n DESC, sentiment ASC) - 1 AS DOUBLE) "
         "AS label_index FROM (SELECT sentiment, count(*) AS n FROM sentiments GROUP BY sentiment)",
@@ -405,6 +406,18 @@ def source_oracles() -> dict[str, str]:
     q["flatten_tweets"] = q_view(f"SELECT {FLAT_COLS} FROM flat", clean=False, extra=(FLAT,))
     q["stream_ingest"] = q_view(f"SELECT {FLAT_COLS} FROM flat WHERE tweetid % 89 <> 88",
                                 clean=False, extra=(FLAT,))
+    q["stream_recovery"] = q_view(f"SELECT {FLAT_COLS}, 1 AS restarts FROM flat WHERE tweetid % 89 <> 88",
+                                  clean=False, extra=(FLAT,))
+    decoded = FLAT.replace("WHERE tweetid % 50 <> 49", "WHERE tweetid % 50 <> 49 AND tweetid % 89 <> 88")
+    q["stream_tsv"] = q_view(REALIGN_SELECT, clean=False, extra=(decoded, LINES, REALIGN))
+    wanted = ("coalesce(_lang = 'en' AND (tweetid % 4 IN (0, 3) "
+              "OR regexp_matches(lower(tweet), '(^|[^a-z0-9_])climate([^a-z0-9_]|$)')), false)")
+    q["stream_report"] = q_view(
+        "SELECT count(*) AS lines, count(*) FILTER (WHERE tweetid % 89 = 88 AND tweet IS NOT NULL) AS rejected, "
+        "count(*) FILTER (WHERE tweet IS NULL) AS without_text, "
+        f"count(*) FILTER (WHERE tweetid % 89 <> 88 AND tweet IS NOT NULL AND NOT {wanted}) AS filtered_out, "
+        f"count(*) FILTER (WHERE tweetid % 89 <> 88 AND tweet IS NOT NULL AND {wanted}) AS delivered, "
+        "CAST(0 AS BIGINT) AS unaccounted FROM tw", clean=False)
     # every 89th line is its JSON cut to 25 characters: {"id":<id>,"text":"...
     q["stream_rejects"] = q_view(
         "SELECT substr('{\"id\":' || CAST(tweetid AS VARCHAR) || ',\"text\":\"' || replace(tweet, '\"', '\\\"'), 1, 25) "
@@ -428,6 +441,10 @@ def source_oracles() -> dict[str, str]:
         "SELECT tweetid, _lang AS lang FROM flat WHERE _lang = 'en' AND (tweetid % 4 IN (0, 3) "
         "OR regexp_matches(lower(tweet), '(^|[^a-z0-9_])climate([^a-z0-9_]|$)'))",
         clean=False, extra=(FLAT,))
+    q["track_many"] = q_view(
+        "SELECT tweetid FROM flat WHERE tweetid % 4 IN (0, 3) OR regexp_matches(lower(tweet), "
+        r"'(^|[^a-z0-9_])(word([0-9]|[1-9][0-9]|[1-8][0-9]{2}|9[0-8][0-9])x|c[0-6]\+\+|climate|user5:|http://t\.co/7)([^a-z0-9_]|$)')",
+        clean=False, extra=(FLAT,))
     q["tsv_positional"] = q_view(POSITIONAL, clean=False, extra=(FLAT, LINES))
     q["tsv_realign"] = q_view(REALIGN_SELECT, clean=False, extra=(FLAT, LINES, REALIGN))
     q["sink_roundtrip"] = q_view("SELECT media_url FROM media_tokens", clean=False, extra=(MEDIA,))

@@ -88,6 +88,12 @@ def lexicon_sentiment_join(spark, sf_dir):
     return scored.select("tweetid", "polarity", "subjectivity")
 
 
+def sentiment_scorer(spark, sf_dir):
+    """The same scores by a user's scorer, an Arrow-batched function."""
+    clean = C.drop_null_tweets(clean_view(spark, sf_dir))
+    return S.score_sentiment(clean, "tweet_parse", scorer=S.lexicon_scorer()).select("tweetid", "polarity", "subjectivity")
+
+
 def sentiment_table(spark, sf_dir):
     return sentiments(spark, sf_dir).drop("tweetid")
 
@@ -188,6 +194,13 @@ def track_filter(spark, sf_dir):
         F.col("id").alias("tweetid"), "lang")
 
 
+def track_many(spark, sf_dir):
+    """A thousand keywords, some with signs: the tags of the tweets, one
+    keyword in the texts, and words no tweet has."""
+    words = [f"word{i}x" for i in range(990)] + [f"c{i}++" for i in range(7)] + ["Climate", "user5:", "http://t.co/7"]
+    return J.track(tweet_events(spark, sf_dir), words).select(F.col("id").alias("tweetid"))
+
+
 def _tsv_files(spark, sf_dir) -> str:
     path = scratch_path(spark, "tsv")
     V.write_tsv_lines(V.to_tsv_line(flatten_tweets(spark, sf_dir)), path)
@@ -202,13 +215,13 @@ def tsv_realign(spark, sf_dir):
     return V.read_tweets_tsv(spark, _tsv_files(spark, sf_dir), realign=True)
 
 
-def _ingested(spark, sf_dir) -> str:
-    """JSON lines derived from the tables -> availableNow stream -> Parquet,
-    dead letters and counts aside. Returns the folder they lie in."""
+def _ingested(spark, sf_dir, **options) -> str:
+    """JSON lines derived from the tables -> availableNow stream; output,
+    dead letters and counts lie in the folder that is returned."""
     root = scratch_path(spark, "stream")
     tweet_event_lines(spark, sf_dir).write.mode("overwrite").text(f"{root}/in")
-    q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead",
-                          f"{root}/checkpoint", available_now=True, counts=f"{root}/counts")
+    q = S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead", f"{root}/checkpoint", available_now=True,
+                          counts=f"{root}/counts", **options)
     q.awaitTermination()
     return root
 
@@ -217,6 +230,34 @@ def stream_ingest(spark, sf_dir):
     return S_in.read_ingested(spark, f"{_ingested(spark, sf_dir)}/out").select(*J.FLAT_COLUMNS)
 
 
+def stream_tsv(spark, sf_dir):
+    """Delivery as text lines in hour folders, scanned by the five-level glob."""
+    root = _ingested(spark, sf_dir, form="tsv")
+    return V.read_tweets_tsv(spark, f"{root}/out/*/*/*/*/*", realign=True)
+
+
+def stream_recovery(spark, sf_dir):
+    """The stream fails once, after its second batch is written and before
+    that batch is committed; restarted, it takes the batch again and goes
+    on (three batches or so, by files). The rows are those of an undisturbed run, with the restarts."""
+    root = scratch_path(spark, "stream")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tweet_event_lines(spark, sf_dir).repartition(parts).write.mode("overwrite").text(f"{root}/in")
+    failed = []
+
+    def fail_once(batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost between write and commit")
+
+    def start():
+        return S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead", f"{root}/checkpoint", available_now=True,
+                                 counts=f"{root}/counts", max_files_per_trigger=-(-parts // 3), after_batch=fail_once)
+
+    restarts = S_in.run_forever(start, pause_s=0, on_failure=S_in.record_failures(spark, f"{root}/failures"))
+    return S_in.read_ingested(spark, f"{root}/out").select(*J.FLAT_COLUMNS, F.lit(restarts).alias("restarts"))
+
+
 def stream_rejects(spark, sf_dir):
     """The rejected lines themselves, with their number."""
     dead = f"{_ingested(spark, sf_dir)}/dead"
@@ -224,11 +265,21 @@ def stream_rejects(spark, sf_dir):
     return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _report_totals(spark, root, form="parquet"):
+    report = S_in.error_report(spark, f"{root}/out", f"{root}/dead", f"{root}/counts", form)
+    return report.agg(*[F.sum(k).alias(k) for k in S_in.COUNTS], F.max(F.abs("unaccounted")).alias("unaccounted"))
+
+
 def stream_accounting(spark, sf_dir):
-    """What became of all events; the kinds add up to the lines."""
-    root = _ingested(spark, sf_dir)
-    kinds = ["lines", "rejected", "without_text", "delivered", "filtered_out"]
-    return S_in.batch_counts(spark, f"{root}/counts").agg(*[F.sum(k).alias(k) for k in kinds])
+    """What became of all events, each kind measured for itself."""
+    return _report_totals(spark, _ingested(spark, sf_dir)).select(*S_in.COUNTS)
+
+
+def stream_report(spark, sf_dir):
+    """The same for a tracked stream delivered as text, with what the kinds
+    leave unaccounted for in any batch."""
+    root = _ingested(spark, sf_dir, form="tsv", keywords=["climate"], languages=["en"])
+    return _report_totals(spark, root, "tsv")
 
 
 def csv_sink(spark, sf_dir):
@@ -305,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "term_weights": term_weights,
     "lexicon_sentiment": lexicon_sentiment,
     "lexicon_sentiment_join": lexicon_sentiment_join,
+    "sentiment_scorer": sentiment_scorer,
     "sentiment_table": sentiment_table,
     "sentiment_mix": sentiment_mix,
     "tokenize_stopwords": tokenize_stopwords,
@@ -319,10 +371,14 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics,
     "flatten_tweets": flatten_tweets,
     "track_filter": track_filter,
+    "track_many": track_many,
     "tsv_positional": tsv_positional,
     "tsv_realign": tsv_realign,
     "stream_ingest": stream_ingest,
+    "stream_tsv": stream_tsv,
+    "stream_recovery": stream_recovery,
     "stream_rejects": stream_rejects,
+    "stream_report": stream_report,
     "stream_accounting": stream_accounting,
     "csv_sink": csv_sink,
     "parquet_sink": parquet_sink,

@@ -1,6 +1,7 @@
 """TSV scans (positional vs realign), JSON flatten, streaming ingest."""
 
 import json
+import re
 
 import pytest
 
@@ -175,6 +176,74 @@ def test_run_forever_restarts_a_failed_query():
         S_in.run_forever(lambda: Query(True), pause_s=0, max_restarts=1)
 
 
+def _stream(spark, root, lines, files=1, **options):
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(files).write.text(f"{root}/in")
+    return lambda **more: S_in.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/dead", f"{root}/ckpt", available_now=True,
+                                            counts=f"{root}/counts", **options, **more)
+
+
+def test_a_failure_between_write_and_commit_changes_nothing(spark):
+    root = scratch_path(spark, "test-recovery")
+    lines = [_event(i) for i in range(20)] + ["not json {", '{"delete":1}']
+    begin = _stream(spark, root, lines, files=4, max_files_per_trigger=1)
+    runs = []
+
+    def fail_twice(batch_id):
+        runs.append(batch_id)
+        if runs.count(batch_id) <= 2 and batch_id == 1:
+            raise RuntimeError("lost")
+
+    n = S_in.run_forever(lambda: begin(after_batch=fail_twice), pause_s=0, on_failure=S_in.record_failures(spark, f"{root}/failures"))
+    assert n == 2 and runs == [0, 1, 1, 1, 2, 3]
+    assert sorted(by_id(S_in.read_ingested(spark, f"{root}/out"))) == list(range(20))
+    assert S_in.read_ingested(spark, f"{root}/out").count() == 20
+    kept = S_in.failures(spark, f"{root}/failures").orderBy("attempt").collect()
+    assert [r.attempt for r in kept] == [1, 2] and all("lost" in r.message and r.error == "StreamingQueryException" for r in kept)
+    report = S_in.error_report(spark, f"{root}/out", f"{root}/dead", f"{root}/counts").collect()
+    assert len(report) == 4 and sum(r.lines for r in report) == 22 and all(r.unaccounted == 0 for r in report)
+
+
+def test_the_report_sees_what_the_files_lost(spark):
+    """Kinds are measured for themselves: files that vanish or come twice show."""
+    root = scratch_path(spark, "test-report")
+    begin = _stream(spark, root, [_event(i, lang="en" if i % 2 else "fr") for i in range(10)] + ["{", "[", '{"delete":1}'], languages=["en"])
+    begin().awaitTermination()
+    where = (spark, f"{root}/out", f"{root}/dead", f"{root}/counts")
+    r = S_in.error_report(*where).first()
+    assert (r.lines, r.rejected, r.without_text, r.filtered_out, r.delivered, r.unaccounted) == (13, 2, 1, 5, 5, 0)
+    extra = spark.read.option("basePath", f"{root}/out").parquet(f"{root}/out/dt=*/hr=*/batch=0").limit(2)
+    extra.write.mode("append").partitionBy("dt", "hr", "batch").parquet(f"{root}/out")
+    assert S_in.error_report(*where).first().unaccounted == -2
+    assert S_in.error_report(spark, f"{root}/nothing", f"{root}/dead", f"{root}/counts").first().unaccounted == 5
+
+
+def test_text_delivery_in_hour_folders(spark):
+    root = scratch_path(spark, "test-text")
+    lines = [_event(1, text="a\tb\nc"), _event(2, created_at="garbage"), _event(3, place=None, entities=None),
+             _event(4, created_at=CA.replace("12:34", "13:00")), "{"]
+    _stream(spark, root, lines, form="tsv")().awaitTermination()
+    rows = by_id(V.read_tweets_tsv(spark, f"{root}/out/*/*/*/*/*", realign=True))
+    assert sorted(rows) == [1, 2, 3, 4]
+    assert rows[1].tweet == "a\tb c" and rows[1].hashtags == "#climate #x" and rows[3].hashtags is None
+    hours = [r.path for r in spark.read.format("binaryFile").load(f"{root}/out/year=2022/month=05/day=07/hour=13/*").select("path").collect()]
+    assert len(hours) == 1
+    assert S_in.error_report(spark, f"{root}/out", f"{root}/dead", f"{root}/counts", "tsv").first().unaccounted == 0
+
+
+def test_many_keywords_equal_one_at_a_time(spark):
+    texts = ["I like C++ and c", "a_b c-d", "", None, "c++x ++c (c++)", "ÄC++", "x.y x.yz", "CLIMATE", "climate_change"]
+    df = J.decode_json(spark.createDataFrame([(_event(i, text=t, entities=None),) for i, t in enumerate(texts)], "value string"))
+    words = ["c++", "c", "a_b", "x.y", "climate", "", "d", "ä"]
+    each = set()
+    for w in words:
+        rule = F.lower(F.col("text")).rlike(f"(^|[^a-z0-9_]){re.escape(w)}([^a-z0-9_]|$)")
+        each |= {r.id for r in df.filter(rule).collect()}
+        assert {r.id for r in J.track(df, [w]).collect()} == {r.id for r in df.filter(rule).collect()}, w
+    assert {r.id for r in J.track(df, words).collect()} == each
+    plan = J.track(df, [f"w{i}" for i in range(1000)])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "rlike" not in plan.lower()
+
+
 def test_track_takes_keywords_literally(spark):
     df = J.decode_json(spark.createDataFrame(
         [(_event(1, text="I like C++ here", entities=None),), (_event(2, text="axb", entities=None),),
