@@ -9,11 +9,13 @@ merges partial partitions, largest with smallest load against each other,
 until all windows are near-equal; while the fullest exceeds the capacity the
 window count rises and the group is partitioned anew. Groups are
 independent, so the work is spread over any number of tasks, and a group's
-size is bounded by its tokens.
+size is bounded by its tokens and by its pieces (GROUP_PIECES).
 
 Ids by word: a word's ids do not depend on its neighbours, so each word met
-for the first time in a task is encoded by the library (many words joined by
-spaces, cut at the end-of-word tokens) and remembered.
+for the first time by a Python worker is encoded by the library's model and
+remembered. A chunk of texts is cut at white space and its distinct pieces
+are found by Arrow; only they are looked up, and numpy gathers their ids into
+the order of the texts.
 
 Defined cases: a null or empty text is its end id alone; repeated rows are
 packed each; an empty table gives an empty result; a null doc_id is packed
@@ -24,23 +26,63 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
+from sys import byteorder
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chirp.llm.bpe import Splitter, _Words, gathered, public_vocabulary
+from chirp.llm.bpe import Splitter, gathered, public_vocabulary
 from chirp.llm.common import stored
 
 CAPACITY = 4096
 PIECE = 512
 END_ID = 2
 GROUP_WINDOWS = 256
-CHUNK_CHARS = 6_000_000
-CACHE_WORDS = 300_000
-WORDS_A_CALL = 4000
+GROUP_PIECES = 32_768
+CHUNK_CHARS = 8_000_000
+CACHE_WORDS = 400_000      # words, and pieces, a Python worker remembers; then it starts anew
+SIGNS = ".,;:!?)(\"'-"      # signs that often end a piece
+
+
+class _WordIds(dict):
+    """word -> its ids as bytes, by the library's model on first use."""
+
+    def __init__(self, split: Splitter):
+        super().__init__()
+        self.model, self.alphabet = split.library.model, split.from_bytes
+
+    def __missing__(self, word: str) -> bytes:
+        plain = word.isascii() and word.isprintable()
+        spelled = word if plain else "".join(map(self.alphabet.__getitem__, word.encode("utf-8")))
+        ids = array("I", [t.id for t in self.model.tokenize(spelled)])
+        if byteorder == "big":
+            ids.byteswap()
+        self[word] = out = ids.tobytes()
+        return out
+
+
+class _PieceIds(dict):
+    """What stands between white space -> its ids as bytes: one word, a word
+    and the signs behind it, or words still to be cut."""
+
+    def __init__(self, split: Splitter):
+        super().__init__()
+        self.words, self.cut = _WordIds(split), split.WORDS.findall
+
+    def __missing__(self, piece: str) -> bytes:
+        words = self.words
+        word = piece.rstrip(SIGNS)
+        if word.isalpha():
+            out = words[word] + words[piece[len(word):]] if len(word) < len(piece) else words[word]
+        else:
+            out = b"".join(map(words.__getitem__, self.cut(piece)))
+        self[piece] = out
+        return out
 
 
 class LibraryIds:
@@ -48,37 +90,42 @@ class LibraryIds:
 
     def __init__(self, path: str):
         self.split = Splitter(path)
-        model = self.split.spec["model"]
-        last = max(max(model["vocab"].values()), max(self.split.special.values(), default=0))
-        self.ends_word = np.zeros(last + 1, dtype=bool)
-        self.ends_word[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
-        self.numbers, self.ids = _Words(), []
-
-    def _learn(self) -> None:
-        new = list(self.numbers)[len(self.ids):]
-        plain = [w for w in new if w not in self.split.special]
-        found = []
-        for s in range(0, len(plain), WORDS_A_CALL):
-            part = plain[s:s + WORDS_A_CALL]
-            ids = np.array(self.split.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            cut = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(cut) != len(part):
-                raise ValueError("a word was not encoded as one word")
-            data, at = ids.tobytes(), (4 * cut).tolist()
-            found += [data[a:b] for a, b in zip([0] + at[:-1], at)]
-        found = iter(found)
-        for w in new:
-            self.ids.append(np.array([self.split.special[w]], "<u4").tobytes()
-                            if w in self.split.special else next(found))
-
-    def texts(self, texts: list[str | None]):
-        """The ids of each text as bytes."""
-        if len(self.numbers) > CACHE_WORDS:
-            self.numbers, self.ids = _Words(), []
-        words = [np.fromiter(map(self.numbers.__getitem__, self.split.words(t)), dtype=np.int32) for t in texts]
-        self._learn()
-        for w in words:
-            yield b"".join(map(self.ids.__getitem__, w.tolist()))
+        self.common = "\\A(?:" + self.split.COMMON.pattern + ")\\z"
+        self.pieces = _PieceIds(self.split)
+
+    def rare(self, text: str) -> bytes:
+        """A text with characters or special tokens that the library cuts."""
+        special = self.split.special
+        return b"".join([np.array([special[w]], "<u4").tobytes() if w in special else self.pieces.words[w]
+                         for w in self.split.words(text)])
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: none). The pieces of all texts are
+        found at once, each distinct piece is encoded once, and the ids are
+        gathered into the order of the texts."""
+        for known in (self.pieces, self.pieces.words):
+            if len(known) > CACHE_WORDS:
+                known.clear()
+        common = pc.fill_null(pc.and_not(pc.match_substring_regex(texts, self.common), pc.match_substring(texts, "<|")), False)
+        at = np.flatnonzero(common.to_numpy(zero_copy_only=False))
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(texts.take(pa.array(at))))
+        pieces = lists.flatten().dictionary_encode()
+        ids = list(map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        known, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        code = pieces.indices.to_numpy(zero_copy_only=False)
+        n = size[code]
+        end = np.cumsum(n)
+        flat = known[np.repeat(first[code] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        bounds = np.r_[0, end][lists.offsets.to_numpy()]  # of the texts, in ids
+        out = [None] * len(texts)
+        for i, s, e in zip(at.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = flat[s:e].tobytes()
+        for i, text in enumerate(out):
+            if text is None:
+                text = texts[i].as_py()
+                out[i] = self.rare(text) if text else b""
+        return out
 
 
 _LIBRARIES: dict[str, LibraryIds] = {}
@@ -113,7 +160,7 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         for b in gathered(batches, "text", CHUNK_CHARS):
             out = [[] for _ in range(6)]
             which, ids = [], []
-            for n, data in enumerate(lib.texts(b.column("text").to_pylist())):
+            for n, data in enumerate(lib.texts(b.column("text"))):
                 data += end
                 total = len(data) // 4
                 cuts = _cuts(total, capacity, piece)
@@ -197,8 +244,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[,
     ids]), a row for each piece."""
     cut = stored(pieces(docs, path or public_vocabulary(), doc_id, text, capacity, piece, end_id, with_ids), "pack_pieces")
-    total = cut.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-total // (GROUP_WINDOWS * capacity)))
+    n, total = cut.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    groups = max(1, -(-total // (GROUP_WINDOWS * capacity)), -(-n // GROUP_PIECES))
     kind = cut.schema["doc_id"].dataType.simpleString()
 
     def run(key, pdf):
