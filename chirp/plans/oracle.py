@@ -448,6 +448,10 @@ def source_oracles() -> dict[str, str]:
     q["tsv_positional"] = q_view(POSITIONAL, clean=False, extra=(FLAT, LINES))
     q["tsv_realign"] = q_view(REALIGN_SELECT, clean=False, extra=(FLAT, LINES, REALIGN))
     q["sink_roundtrip"] = q_view("SELECT media_url FROM media_tokens", clean=False, extra=(MEDIA,))
+    q["scoped_rewrite"] = q_view(
+        "SELECT tweetid, CASE WHEN country = 'France' AND tweetid % 2 = 0 THEN 'edited ' || tweet ELSE tweet END AS tweet, "
+        "CASE WHEN country = 'France' AND tweetid % 2 = 0 THEN 0 ELSE retweet_count END AS retweet_count, nullif(country, '') AS country FROM tw "
+        "WHERE country IS DISTINCT FROM 'Spain' AND NOT coalesce(country = 'Germany' AND retweet_count < 50, false)", clean=False)
     drop = "FROM cl WHERE tweet IS NOT NULL"
     q["tweets_by_hour"] = q_view(
         f"SELECT tweet_date_string, hour, count(*) AS n_tweets {drop} GROUP BY tweet_date_string, hour")

@@ -113,31 +113,27 @@ def tokenize_stopwords(spark, sf_dir):
         F.size("filtered").alias("n_filtered"))
 
 
-def _counts(spark, sf_dir):
-    sents = sentiments(spark, sf_dir).select("tweetid", "tweet")
-    # sentiments holds no NULL text (drop_null_tweets), so N is its row count
-    n_docs = sents.select(F.count(F.lit(1))).scalar()
-    return P.term_counts(sents, "tweetid", "tweet"), n_docs
+def _texts(spark, sf_dir):
+    return sentiments(spark, sf_dir).select("tweetid", "tweet")
 
 
 def vocabulary(spark, sf_dir):
-    counts, _ = _counts(spark, sf_dir)
-    return P.vocabulary(counts)
+    return P.vocabulary(P.term_counts(_texts(spark, sf_dir), "tweetid"))
 
 
 def vocabulary_cut(spark, sf_dir):
     """A vocabulary of 5,000 terms, fewer than the corpus has."""
-    counts, _ = _counts(spark, sf_dir)
+    counts = P.term_counts(_texts(spark, sf_dir), "tweetid")
     return P.ranked_cut(P.term_totals(counts), 5000, [F.col("n").desc(), F.col("term").asc()])
 
 
 def idf_table(spark, sf_dir):
-    t = P.idf_table(*_counts(spark, sf_dir))
+    t = P.idf_table(*P.stored_term_counts(_texts(spark, sf_dir), "tweetid"))
     return t.select("term", "doc_freq", F.round("idf", 9).alias("idf"))
 
 
 def tfidf(spark, sf_dir):
-    counts, n_docs = _counts(spark, sf_dir)
+    counts, n_docs = P.stored_term_counts(_texts(spark, sf_dir), "tweetid")
     rows = P.tfidf(counts, "tweetid", n_docs)
     return rows.select("tweetid", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
@@ -176,12 +172,14 @@ def sentiment_lr(spark, sf_dir):
 
 def model_metrics(spark, sf_dir):
     """Stage 8's end: the fitted model's test predictions, persisted with
-    their vectors, and accuracy and weighted F1 of what was written."""
+    their vectors as a catalog table, and accuracy and weighted F1 of what
+    the table holds."""
     _, pred = P.fit_predict(sentiments(spark, sf_dir), how="hash", key="tweetid")
-    path = scratch_path(spark, "predictions")
-    P.save_predictions(pred, path)
-    back = spark.read.parquet(path)
-    return P.metrics(back.select("label", "prediction"))
+    root = scratch_path(spark, "warehouse")
+    with T.own_database(spark, root) as db:
+        P.save_predictions(pred, f"{root}/files", f"{db}.predictions")
+        # the table is external: its files outlive the database
+        return P.metrics(spark.table(f"{db}.predictions").select("label", "prediction"))
 
 
 def flatten_tweets(spark, sf_dir):
@@ -305,11 +303,8 @@ def table_profile(spark, sf_dir):
 def sink_roundtrip(spark, sf_dir):
     """Stage 5's table flow on catalog tables: save, CTAS split, explode,
     DELETE, UPDATE and overwrite-while-reading via a staged swap."""
-    root = scratch_path(spark, "warehouse")
-    db = "chirp_" + root.rsplit("-", 1)[-1]
-    prev_db = spark.catalog.currentDatabase()
-    T.use_database(spark, db, root)
-    try:
+    with T.own_database(spark, scratch_path(spark, "warehouse")) as db:
+        spark.catalog.setCurrentDatabase(db)
         T.save_table(tweet_view(spark, sf_dir), "tblclimate")
         arrays = T.create_table_as(
             spark, "tblmedia_arrays",
@@ -322,9 +317,21 @@ def sink_roundtrip(spark, sf_dir):
         media = T.update_where(media, "media_url", F.replace("media_url", F.lit(","), F.lit("")))
         # a copy in the scratch folder outlives the database
         return stored(T.replace_table(spark, media, "tblmedia"), "tblmedia")
-    finally:
-        spark.catalog.setCurrentDatabase(prev_db)
-        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def scoped_rewrite(spark, sf_dir):
+    """DELETE and UPDATE on a table partitioned by country: only the
+    partitions that hold a row concerned are written anew, and one that
+    loses all its rows is dropped."""
+    with T.own_database(spark, scratch_path(spark, "warehouse")) as db:
+        name = f"{db}.tblplaces"
+        places = tweet_view(spark, sf_dir).select("tweetid", "tweet", "retweet_count", F.nullif("country", F.lit("")).alias("country"))
+        T.save_table(places, name, partition_by=["country"])
+        T.delete_in_place(spark, name, (F.col("country") == "Germany") & (F.col("retweet_count") < 50))
+        T.update_in_place(spark, name, {"tweet": F.concat(F.lit("edited "), "tweet"), "retweet_count": F.lit(0)},
+                          (F.col("country") == "France") & (F.col("tweetid") % 2 == 0))
+        T.delete_in_place(spark, name, F.col("country") == "Spain")
+        return stored(spark.table(name), "tblplaces")
 
 
 def _live(spark, sf_dir):
@@ -384,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "parquet_sink": parquet_sink,
     "table_profile": table_profile,
     "sink_roundtrip": sink_roundtrip,
+    "scoped_rewrite": scoped_rewrite,
     "tweets_by_hour": tweets_by_hour,
     "tweets_by_country": tweets_by_country,
     "tweets_by_dow": tweets_by_dow,
