@@ -14,14 +14,21 @@ Equal vectors are combined first (a third of all rows may be one vector).
    the shard's medoid finds the query's region, then the range expands from
    every vector within the threshold to its neighbours until nothing new is
    within it.
+   The graph does not end at a shard: where a link leads to a vector that
+   also lies in another shard, the query goes on there, from that vector, and
+   expands along its lists, in rounds until no query has a shard left to
+   visit. So a group of near copies larger than a shard is found whole. A
+   query visits a shard once; a shard's visitors are split into blocks.
 5. Verify: cosine in double precision of the vectors as given.
 6. Audit: recall of the links against brute force, for a bounded hashed set
    of queries against all rows; below TARGET_RECALL the overlap is doubled
    and the search repeated.
 
-A pair found in a shard is counted in the first shard both vectors share, so
-no pair leaves a task: a shard returns a link count per vector and a
-spanning forest of its links. Components come from the forests.
+A pair found in a shard is counted in the first shard both vectors share; a
+vector met on a visit is counted by the visitor in the first of its shards
+that the visitor comes to. So no pair leaves a task: a shard returns a link
+count per vector and a spanning forest of its links. Components come from the
+forests.
 
 Defined cases: a null label, a null, empty or zero vector and one with null
 or non-finite components link with nothing: n_links 0, a component of their
@@ -48,6 +55,9 @@ OVERLAP = 2
 NEAR, RANDOM, DEGREE, ALPHA = 32, 16, 24, 1.2
 BEAM = 24
 BLOCK = 256
+VISITORS = 512
+VISIT_BLOCK = 64
+FRONTIER = 50_000
 AUDIT_QUERIES = 256
 TARGET_RECALL = 0.95
 
@@ -182,17 +192,50 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, low[out]
 
 
+def _local(nid: np.ndarray, neighbours: list[np.ndarray]) -> np.ndarray:
+    """The adjacency lists within a shard, as positions padded with -1."""
+    place = {v: i for i, v in enumerate(nid.tolist())}
+    lists = [[place[v] for v in nb.tolist() if v in place] for nb in neighbours]
+    adj = np.full((len(nid), max(1, max(map(len, lists)))), -1)
+    for i, l in enumerate(lists):
+        adj[i, :len(l)] = l
+    return adj
+
+
+def _verified(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of the pairs (x[a], y[b]) in double precision."""
+    nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+    cos = np.empty(len(a))
+    for s in range(0, len(a), 100_000):
+        i, j = a[s:s + 100_000], b[s:s + 100_000]
+        cos[s:s + 100_000] = np.einsum("id,id->i", x[i], y[j]) / (nx[i] * ny[j])
+    return cos
+
+
+def _onward(q: np.ndarray, v: np.ndarray, cos: np.ndarray, shards: np.ndarray, shard: int, known):
+    """Where links lead: for each query and each other shard of a vector it
+    links to, that is not ``known`` for the query, the nearest such vector."""
+    qs, to, at, sim = [], [], [], []
+    for c in range(shards.shape[1]):
+        target = shards[v, c]
+        go = (target != shard) & ~known(q, target)
+        for out, part in zip((qs, to, at, sim), (q[go], target[go], v[go], cos[go])):
+            out.append(part)
+    qs, to, at, sim = map(np.concatenate, (qs, to, at, sim))
+    order = np.lexsort((-sim, to, qs))
+    qs, to, at, sim = qs[order], to[order], at[order], sim[order]
+    first = np.ones(len(qs), bool)
+    first[1:] = (qs[1:] != qs[:-1]) | (to[1:] != to[:-1])
+    return qs[first], to[first], at[first]
+
+
 def shard_links(x: np.ndarray, nid: np.ndarray, copies: np.ndarray, shards: np.ndarray, shard: int,
                 neighbours: list[np.ndarray], threshold: float):
     """Link counts per member (copies counted, pairs owned by this shard
-    only) and the forest of all links found."""
+    only), the forest of all links found, and where they lead."""
     n = len(x)
     u = unit(x)
-    place = {v: i for i, v in enumerate(nid.tolist())}
-    lists = [[place[v] for v in nb.tolist() if v in place] for nb in neighbours]
-    adj = np.full((n, max(1, max(map(len, lists)))), -1)
-    for i, l in enumerate(lists):
-        adj[i, :len(l)] = l
+    adj = _local(nid, neighbours)
     medoid = int((u @ u.mean(0)).argmax())
     found = []
     for s in range(0, n, BLOCK):
@@ -202,22 +245,112 @@ def shard_links(x: np.ndarray, nid: np.ndarray, copies: np.ndarray, shards: np.n
         found.append(np.unique(a * n + b))
     code = np.unique(np.concatenate(found))
     a, b = code // n, code % n
-    norm = np.linalg.norm(x, axis=1)
-    real = np.empty(len(a), bool)
-    for s in range(0, len(a), 100_000):               # verify
-        i, j = a[s:s + 100_000], b[s:s + 100_000]
-        real[s:s + 100_000] = np.einsum("id,id->i", x[i], x[j]) / (norm[i] * norm[j]) >= threshold
-    a, b = a[real], b[real]
+    cos = _verified(x, x, a, b)
+    real = cos >= threshold
+    a, b, cos = a[real], b[real], cos[real]
     common = np.where((shards[a][:, :, None] == shards[b][:, None, :]).any(2), shards[a], np.iinfo(np.int64).max).min(1)
     mine = common == shard
     counts = np.zeros(n, np.int64)
     np.add.at(counts, a[mine], copies[b[mine]])
     np.add.at(counts, b[mine], copies[a[mine]])
-    return counts, _forest(n, a, b)
+    on = _onward(np.r_[a, b], np.r_[b, a], np.r_[cos, cos], shards, shard,
+                 lambda q, target: (shards[q] == target[:, None]).any(1))
+    return counts, _forest(n, a, b), on
+
+
+def expand(x: np.ndarray, adj: np.ndarray, queries: np.ndarray, starts: list[np.ndarray], threshold: float):
+    """(query, member) pairs within ``threshold`` that the lists lead to from
+    each query's starts; ``queries`` are unit vectors of other shards."""
+    n = len(x)
+    slack = threshold - 1e-6  # the caller verifies
+    seen = np.zeros((len(queries), n + 1), bool)
+    seen[:, n] = True
+    hit_q, hit_v = [], []
+    fq = np.repeat(np.arange(len(starts)), [len(s) for s in starts])
+    fv = np.concatenate(starts) if len(starts) else np.empty(0, np.int64)
+    while len(fq):
+        grown = len(hit_q)
+        for s in range(0, len(fq), FRONTIER):
+            code = np.unique(fq[s:s + FRONTIER] * (n + 1) + fv[s:s + FRONTIER])
+            q, v = code // (n + 1), code % (n + 1)
+            new = ~seen[q, v]
+            q, v = q[new], v[new]
+            seen[q, v] = True
+            near = np.einsum("id,id->i", queries[q], x[v]) >= slack
+            hit_q.append(q[near])
+            hit_v.append(v[near])
+        met_q, met_v = np.concatenate(hit_q[grown:]), np.concatenate(hit_v[grown:])
+        # on to the neighbours not seen yet, a slice of the frontier at a time
+        fq, fv = [], []
+        for s in range(0, len(met_q), FRONTIER // adj.shape[1] + 1):
+            nb = adj[met_v[s:s + FRONTIER // adj.shape[1] + 1]]
+            q = np.repeat(met_q[s:s + FRONTIER // adj.shape[1] + 1], nb.shape[1])
+            v = np.where(nb < 0, n, nb).ravel()
+            open_ = ~seen[q, v]
+            code = np.unique(q[open_] * (n + 1) + v[open_])
+            fq.append(code // (n + 1))
+            fv.append(code % (n + 1))
+        fq, fv = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (fq, fv))
+    return np.concatenate(hit_q or [fq]), np.concatenate(hit_v or [fv])
+
+
+def visit_links(x, nid, copies, shards, shard, neighbours, qx, starts, before, now, threshold):
+    """The visitors' link counts, the forest over members and visitors (these
+    numbered after the members), and where the links lead. ``before`` and
+    ``now``: the shards each visitor has seen in earlier rounds and sees in
+    this one; a vector that lies in one of the former has been met there."""
+    n, u, uq = len(x), unit(x), unit(qx)
+    adj = _local(nid, neighbours)
+    found = [expand(u, adj, uq[s:s + VISIT_BLOCK], starts[s:s + VISIT_BLOCK], threshold) for s in range(0, len(qx), VISIT_BLOCK)]
+    q = np.concatenate([f[0] + s * VISIT_BLOCK for s, f in enumerate(found)])
+    v = np.concatenate([f[1] for f in found])
+    cos = _verified(qx, x, q, v)
+    real = cos >= threshold
+    q, v, cos = q[real], v[real], cos[real]
+    span = int(max([shards.max()] + [max(l) for l in before + now if len(l)])) + 1
+
+    def codes(lists):
+        return np.unique(np.concatenate([i * span + np.asarray(l, np.int64) for i, l in enumerate(lists)]))
+
+    old, new = codes(before), codes(now)
+    of = shards[v]
+    met = ((of != shard) & np.isin(q[:, None] * span + of, old)).any(1)
+    first = np.where(np.isin(q[:, None] * span + of, new), of, np.iinfo(np.int64).max).min(1)
+    mine = ~met & (first == shard)
+    counts = np.zeros(len(qx), np.int64)
+    np.add.at(counts, q[mine], copies[v[mine]])
+    known = np.r_[old, new]
+    on = _onward(q, v, cos, shards, shard, lambda a, target: np.isin(a * span + target, known))
+    return counts, _forest(n + len(qx), n + q, v), on
 
 
 def _matrix(column) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64)
+    """Vectors of one length as rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _shards(column) -> np.ndarray:
+    lists = column.to_pylist()
+    width = max(map(len, lists))
+    return np.array([s + s[-1:] * (width - len(s)) for s in lists])
+
+
+# counts (nid, n), forest edges (nid, to) and onward visits (nid, shard, start)
+FOUND = "nid long, n long, to long, shard long, start long"
+
+
+def _found(nid: np.ndarray, counts: np.ndarray, edges, on) -> pa.Table:
+    (a, b), (q, target, start) = edges, on
+    m, none = len(nid), np.zeros(0, np.int64)
+    parts = [(nid, counts, nid, none, none), (a, np.zeros(len(a), np.int64), b, none, none),
+             (q, np.zeros(len(q), np.int64), q, target, start)]
+    columns = []
+    for c in range(5):
+        columns.append(pa.chunked_array([pa.array(p[c], pa.int64()) if len(p[c]) == len(p[0]) else pa.nulls(len(p[0]), pa.int64())
+                                         for p in parts]))
+    return pa.Table.from_arrays(columns, ["nid", "n", "to", "shard", "start"])
 
 
 def _search(reps: DataFrame, centres: dict, overlap: int, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -256,25 +389,59 @@ def _search(reps: DataFrame, centres: dict, overlap: int, threshold: float) -> t
 
     graph = members.groupBy("shard").applyInArrow(build, "nid long, nb array<long>")
     union = graph.groupBy("nid").agg(F.array_distinct(F.flatten(F.collect_list("nb"))).alias("nb"))
-    searched = members.join(stored(union, "graph_lists"), "nid")
+    listed = stored(members.join(stored(union, "graph_lists"), "nid")
+                    .select("shard", "shards", "nid", "copies", "v", "nb"), "graph_listed")
 
-    def search(t: pa.Table) -> pa.Table:
+    def parts(t: pa.Table):
         t = t.sort_by("nid")
-        nid = t.column("nid").to_numpy()
-        sizes = [len(s) for s in t.column("shards").to_pylist()]
-        width = max(sizes)
-        shards = np.array([s + s[-1:] * (width - len(s)) for s in t.column("shards").to_pylist()])
-        nb = [np.array(l, np.int64) for l in t.column("nb").to_pylist()]
-        counts, (a, b) = shard_links(_matrix(t.column("v")), nid, t.column("copies").to_numpy(), shards,
-                                     t.column("shard")[0].as_py(), nb, threshold)
-        to = nid.copy()
-        to[a] = nid[b]
-        return pa.table({"nid": nid, "n": counts, "to": to})
-
-    got = stored(searched.select("shard", "shards", "nid", "copies", "v", "nb").groupBy("shard")
-                 .applyInArrow(search, "nid long, n long, to long"), "graph_links")
-    return (got.groupBy("nid").agg(F.sum("n").alias("n")),
-            got.filter("nid <> to").select(F.col("nid").alias("a"), F.col("to").alias("b")))
+        return (_matrix(t.column("v")), t.column("nid").to_numpy(), t.column("copies").to_numpy(), _shards(t.column("shards")),
+                t.column("shard")[0].as_py(), [np.array(l, np.int64) for l in t.column("nb").to_pylist()])
+
+    def search(t: pa.Table) -> pa.Table:
+        here = parts(t)
+        nid = here[1]
+        counts, (a, b), (q, target, start) = shard_links(*here, threshold)
+        return _found(nid, counts, (nid[a], nid[b]), (nid[q], target, nid[start]))
+
+    def visit(t: pa.Table, visitors: pa.Table) -> pa.Table:
+        if not t.num_rows or not visitors.num_rows:
+            none = np.zeros(0, np.int64)
+            return _found(none, none, (none, none), (none, none, none))
+        here = parts(t)
+        nid, who = here[1], visitors.column("q").to_numpy()
+        place = {v: i for i, v in enumerate(nid.tolist())}
+        starts = [np.array([place[s] for s in l], np.int64) for l in visitors.column("starts").to_pylist()]
+        counts, (a, b), (q, target, start) = visit_links(
+            *here, _matrix(visitors.column("qv")), starts, visitors.column("before").to_pylist(),
+            visitors.column("now").to_pylist(), threshold)
+        every = np.r_[nid, who]
+        return _found(who, counts, (every[a], every[b]), (who[q], target, nid[start]))
+
+    got = stored(listed.groupBy("shard").applyInArrow(search, FOUND), "graph_links")
+    rounds = [got]
+    visited = listed.filter(F.col("shard") == F.col("shards")[0]).select(F.col("nid").alias("q"), F.col("shards").alias("before"))
+    while True:
+        asked = (got.filter("shard IS NOT NULL").groupBy(F.col("nid").alias("q"), F.col("shard").alias("target"))
+                 .agg(F.collect_set("start").alias("starts"))
+                 .join(visited, "q").filter(~F.array_contains("before", F.col("target"))))
+        now = asked.groupBy("q").agg(F.collect_set("target").alias("now"))
+        asked = stored(asked.join(now, "q").join(reps.select(F.col("nid").alias("q"), F.col("v").alias("qv")), "q"), "graph_visits")
+        if asked.isEmpty():
+            break
+        size = asked.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / VISITORS).alias("blocks"))
+        asked = stored(asked.join(size, "target").withColumn("block", F.pmod(F.xxhash64("q"), "blocks")), "graph_visitors")
+        places = asked.select(F.col("target").alias("shard"), F.col("block").alias("at_block")).distinct()
+        got = stored(listed.join(places, "shard").groupBy("shard", "at_block")
+                     .cogroup(asked.select("target", "block", "q", "qv", "starts", "before", "now").groupBy("target", "block"))
+                     .applyInArrow(visit, FOUND), "graph_links")
+        rounds.append(got)
+        visited = stored(visited.join(asked.select("q", "now").distinct(), "q", "left").select(
+            "q", F.array_union("before", F.coalesce("now", F.array().cast("array<long>"))).alias("before")), "graph_visited")
+    every = rounds[0]
+    for r in rounds[1:]:
+        every = every.union(r)
+    return (every.groupBy("nid").agg(F.sum("n").alias("n")),
+            every.filter("nid <> to").select(F.col("nid").alias("a"), F.col("to").alias("b")))
 
 
 def exact_links(reps: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT_QUERIES) -> DataFrame:
