@@ -34,7 +34,8 @@ def test_only_touched_partitions_are_written(spark, db):
     assert T.delete_in_place(spark, name, (F.col("p") == "a") & (F.col("k") < 10)) == [("a",)]
     after = files(spark, name)
     assert set(after) == set(before) and {d for d in before if before[d] != after[d]} == {"p=a"}
-    T.update_in_place(spark, name, {"v": F.concat("v", F.lit("!"))}, F.col("p").isNull() | (F.col("k") == 1))
+    wrote = T.update_in_place(spark, name, {"v": F.concat("v", F.lit("!"))}, F.col("p").isNull() | (F.col("k") == 1))
+    assert set(wrote) == {("b",), (None,)}
     got = {r.k: r.v for r in spark.table(name).collect()}
     assert got[3] == "v3!" and got[8] == "v8!" and got[1] == "v1!" and got[6] == "v6" and 0 not in got and got[10] == "v10"
     now = files(spark, name)
