@@ -31,21 +31,30 @@ VOCABULARY_WORDS = 100
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 THRESHOLD = 0.5
-ROUNDS = 30
+ROUNDS = 50
 TOLERANCE = 1e-4
-# EM's start and the range of its estimates: rules seldom call a good
-# document bad, and each sees only one kind of defect, so what it says of a
-# bad document is right in some part of cases. Without the ranges EM takes
-# the most frequent kind of defect for the class of bad documents and the
-# rules for all other kinds as wrong. With all good votes but one, one bad
-# vote still rejects; a rule must therefore say bad only of what no clean
-# text shows (repetition: what fails the base rules).
-START = {"prior": 0.8, "good": 0.99, "bad": 0.25}
-GOOD_RANGE, BAD_RANGE = (0.99, 0.9999), (0.1, 0.4)
-
-RULES = ("symbols", "symbol_chars", "word_length", "capitals", "repetition", "dup_lines", "vocabulary", "shouting")
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_block_distinct", "n_upper", "n_shouts")
+# A rate over fewer words says nothing bad of a text: the rules on function
+# words and words without letters then abstain.
+RATE_WORDS = 30
+# EM's start. The ranges only keep the estimates better than chance on good
+# documents and the logarithms finite; the rules see the same documents from
+# many sides (function words, sentences, marks, case, repetition), so EM finds
+# the class of bad documents without being held to it.
+START = {"prior": 0.8, "good": 0.95, "bad": 0.4}
+GOOD_RANGE, BAD_RANGE = (0.5, 0.9999), (0.01, 0.99)
+
+RULES = ("symbols", "word_length", "capitals", "repetition", "dup_lines", "vocabulary", "shouting",
+         "function_words", "sentences", "punct_runs", "bare")
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_block_distinct",
+            "n_upper", "n_shouts", "n_function_words", "n_ends", "n_punct_runs", "n_bare")
+# Frequent function words of English, French, German, Spanish.
+FUNCTION_WORDS = (
+    "the", "of", "and", "to", "in", "is", "was", "for", "that", "with", "on", "as", "are", "it", "by", "be", "at",
+    "from", "this", "or", "an", "a",
+    "le", "la", "les", "et", "des", "du", "de", "un", "une", "est", "en", "que", "qui", "dans", "pour", "par", "sur", "pas",
+    "der", "die", "und", "das", "den", "dem", "von", "zu", "mit", "ist", "im", "für", "ein", "eine", "nicht", "auf",
+    "el", "los", "las", "y", "del", "se", "por", "con", "una", "es", "lo", "su",
+)
 
 
 def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -96,7 +105,11 @@ def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None =
         n(F.size("_q_l")).alias("n_lines"),
         n(F.aggregate("_q_b", F.lit(0), lambda a, x: a + x)).alias("n_block_distinct"),
         n(F.regexp_count("_q_t", F.lit("\\p{Lu}"))).alias("n_upper"),
-        n(F.regexp_count("_q_t", F.lit("[!?]"))).alias("n_shouts"))
+        n(F.regexp_count("_q_t", F.lit("[!?]"))).alias("n_shouts"),
+        n(F.size(F.filter("_q_w", lambda w: F.lower(w).isin(*FUNCTION_WORDS)))).alias("n_function_words"),
+        n(F.regexp_count("_q_t", F.lit("[.!?](?=\\s|\\z)"))).alias("n_ends"),
+        n(F.regexp_count("_q_t", F.lit("[^\\p{L}\\p{N}\\s]{2,}"))).alias("n_punct_runs"),
+        n(F.regexp_count("_q_t", F.lit("(?<![^ \\t-\\r])[^\\p{L} \\t-\\r]++(?![^ \\t-\\r])"))).alias("n_bare"))
 
 
 def _rules() -> dict[str, tuple[Column, Column]]:
@@ -104,15 +117,18 @@ def _rules() -> dict[str, tuple[Column, Column]]:
     c = F.col
     w = c("n_words")
     return {
-        "symbols": (c("n_symbols") * 10 > w, c("n_symbols") * 50 <= w),
-        "symbol_chars": (c("n_symbols") * 20 > c("word_chars"), c("n_symbols") * 200 <= c("word_chars")),
+        "symbols": (c("n_symbols") * 20 > c("word_chars"), c("n_symbols") * 200 <= c("word_chars")),
         "word_length": ((c("word_chars") > 10 * w) | (c("word_chars") < 3 * w),
                         (c("word_chars") >= 4 * w) & (c("word_chars") <= 7 * w)),
         "capitals": (c("n_upper") * 10 > 3 * c("word_chars"), c("n_upper") * 10 <= c("word_chars")),
-        "repetition": (c("n_repeat_words") * 100 > MAX_REPEAT_PERCENT * w, c("n_repeat_words") * 50 <= w),
+        "repetition": (c("n_repeat_words") * 10 > w, c("n_repeat_words") * 50 <= w),
         "dup_lines": (c("n_dup_lines") * 2 > c("n_lines"), c("n_dup_lines") * 5 <= c("n_lines")),
         "vocabulary": ((w >= 50) & (c("n_block_distinct") * 10 < 3 * w), c("n_block_distinct") * 2 >= w),
         "shouting": (c("n_shouts") * 5 > w, c("n_shouts") * 20 <= w),
+        "function_words": ((w >= RATE_WORDS) & (c("n_function_words") * 20 < w), c("n_function_words") * 8 >= w),
+        "sentences": (c("n_ends") * 100 < w, (c("n_ends") * 30 >= w) & (c("n_ends") * 3 <= w)),
+        "punct_runs": (c("n_punct_runs") * 10 > w, c("n_punct_runs") * 50 <= w),
+        "bare": ((w >= RATE_WORDS) & (c("n_bare") * 4 > w), c("n_bare") * 10 <= w),
     }
 
 
@@ -146,8 +162,8 @@ def posterior(model: dict) -> Column:
 def fit(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
     """EM over (vote_*, n) rows. ``good[r]``: chance that rule r, voting on a
     good document, says good; ``bad[r]``: on a bad one, says bad. Counts are
-    smoothed by one of each vote and held in GOOD_RANGE and BAD_RANGE. No
-    rows: the start values."""
+    smoothed by one of each vote; GOOD_RANGE and BAD_RANGE bound the
+    estimates. No rows: the start values."""
     held = lambda x, limits: min(max(x, limits[0]), limits[1])
     model = {"prior": START["prior"], "good": dict.fromkeys(RULES, START["good"]),
              "bad": dict.fromkeys(RULES, START["bad"])}
@@ -185,7 +201,7 @@ def quality_rules(docs: DataFrame, text: str = "text", keep: list[str] | None =
     base = without(docs, OUTPUT)
     scored = stored(with_features(base, text, keep).select("*", *votes()), "quality_votes")
     names = [f"vote_{r}" for r in RULES]
-    patterns = stored(scored.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality_patterns")
+    patterns = stored(scored.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "quality_patterns")
     model = fit(patterns)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (scored.withColumn("base_failed", failed)
