@@ -101,3 +101,30 @@ def test_pipeline_on_edges(spark):
     for d in (docs, docs.limit(0)):
         for _, stage in P.STAGES:
             assert stage(spark, d, SF_SMALL).count() >= 0
+
+
+def test_license_scan_finds_wrapped_and_several(spark):
+    """Every template wrapped at 60 columns between paragraphs, dual and
+    variant identifiers, and texts that only look alike."""
+    import textwrap
+    prose = "the river runs past the old mill and the houses of the village near the hill\n"
+    rows, want = [], []
+    for family, notices in LS.TEMPLATES.items():
+        for t in notices:
+            if " OR " in t:  # declares two
+                continue
+            rows.append(prose * 3 + "\n" + "\n".join(textwrap.wrap(t, 60)) + "\n \n" + prose * 2)
+            want.append([family])
+    for line, families in (("SPDX-License-Identifier: GPL-3.0-only", ["GPL-3.0"]), ("SPDX-License-Identifier: BSD-2-Clause", ["BSD"]),
+                           ("SPDX-License-Identifier: LGPL-3.0-or-later", ["LGPL"]),
+                           ("SPDX-License-Identifier: MIT OR Apache-2.0", ["Apache-2.0", "MIT"]),
+                           ("Released under the MIT License.\n" + prose * 400, ["MIT"]),
+                           ("All rights\n\nreserved.", []), (prose * 50, [])):
+        rows.append(line)
+        want.append(families)
+    out = {r["doc_id"]: r for r in LS.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    wrong = [(i, rows[i][:300], want[i], out[i]["families"]) for i in out if not set(want[i]) <= set(out[i]["families"])]
+    extra = [(i, want[i], out[i]["families"]) for i in out if len(out[i]["families"]) > max(len(want[i]), 1) or not want[i] and out[i]["families"]]
+    print(wrong, extra)
+    assert not wrong and not extra
+    assert all(r["n_licenses"] == len(r["families"]) for r in out.values())
