@@ -16,9 +16,9 @@ Training rows are the families' templates, whole, without their first or
 last words, cut into pieces as wrapping would, and set between paragraphs of
 the corpus; ``unknown`` rows are sentences that only speak of licences and at
 most MAX_UNKNOWN lines of the corpus (drawn by a threshold on their hash, so
-the draw is as large in any corpus). One template in five is left out of the
-fit with all its rows; on those one temperature is chosen that makes the
-probabilities fit best. The models are MLlib's, everything runs in the JVM.
+the draw is as large in any corpus). Rows of one in five are left out of the
+fit (rows, not templates: variants of their templates are fitted); on them one
+temperature is chosen that makes the probabilities fit best. The models are MLlib's, everything runs in the JVM.
 
 Defined cases: null and empty texts have no paragraphs and no findings;
 rows repeating doc_id and text are one document for the scan and each get
