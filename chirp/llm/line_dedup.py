@@ -5,13 +5,16 @@ then place in the document -- and removed everywhere else. A run qualifies
 with at least two lines and MIN_WORDS words, or with LONG_LINE_WORDS words
 on any number of lines.
 
-``whole``: from every line with words two windows are cut, the shortest
-qualifying run that starts there and the one that ends there. They depend on
-nothing but those lines, so a repeated passage holds the same windows
-wherever it stands, and the windows inside a qualifying passage cover all of
-it (but empty lines at its edges). A line goes when it lies in a window that
-occurs earlier. Windows that overlap their own first occurrence leave its
-lines. The first of all occurrences of a line in the corpus always stays.
+``whole``: a rolling hash runs over the digests of every two neighbouring
+lines with words. Where it occurs once in the corpus a chunk ends, so no
+boundary ever falls inside a repeated passage, wherever it stands. A chunk may
+hold several passages one after the other; it is compared by its shortest
+qualifying runs, one down and one up from each line, which cover every
+qualifying passage inside it (but empty lines at its edges). A line of
+LONG_LINE_WORDS whose own hash repeats is a chunk too. A line goes when it
+lies in a run that occurs earlier. Runs that overlap their own first
+occurrence leave its lines. The first of all occurrences of a line in the
+corpus always stays.
 
 Otherwise (the cheaper cut): a rolling hash over each line and the one
 before it decides whether a chunk ends there (on average every CHUNK_LINES
@@ -19,13 +22,15 @@ lines), a line of LONG_LINE_WORDS - 1 spaces is a chunk of its own, and only
 qualifying chunks are compared; a passage loses only the chunks that lie
 inside it.
 
-Equal 64-bit hashes are only candidates: the removal groups by the SHA-256
-of the run's bytes, so no text travels.
+Equal 64-bit hashes are only candidates: the removal groups by SHA-256, of
+the run's bytes or (``whole``) of its lines' SHA-256 in order, so no text
+travels.
 
-Plan: hashes are counted with map-side combination; windows or chunks with a
-repeated hash are stored with their digest; the removals, one row a
-document, are joined back. Hot runs are combined before the shuffle, and
-AQE splits the joins' hot keys.
+Plan (``whole``): the texts are read once for their lines' digests, word
+counts and rolling hashes, which are stored; hashes are counted with map-side
+combination, and the places of repeated ones, one row a document, give the
+chunks. The removals, one row a document, are joined back. Hot runs are
+combined before the shuffle, and AQE splits the joins' hot keys.
 
 Defined cases: a null text stays null, an empty one empty; a document whose
 every line was a repeat keeps its row with an empty text. A null doc_id
@@ -68,55 +73,100 @@ def with_chunks(df: DataFrame, text: str) -> DataFrame:
         ends, lambda e, k: F.struct(first(k).alias("first"), (e - first(k) + 1).alias("n"))))
 
 
-def with_windows(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``_l_lines`` and ``_l_windows``: array of (first, n) in lines, the
-    shortest qualifying run from each line with words down and up."""
-    df = df.withColumn("_l_lines", F.split(F.col(f"`{text}`"), "\n"))
-    df = df.withColumn("_l_full", F.filter(
-        F.transform("_l_lines", lambda x, i: F.struct(i.alias("i"), _n_words(x).alias("w"))), lambda x: x["w"] > 0))
-    full = F.col("_l_full")
-
-    def end(k: Column, step: int) -> Column:
-        """The other end of the run; null if the text ends before."""
-        words = F.get(full, k)["w"]
-        out = F.when(words >= LONG_LINE_WORDS, F.get(full, k)["i"])
-        for j in range(1, MIN_WORDS):  # each of the lines has a word
-            other = F.get(full, k + j * step)
-            words = words + other["w"]
-            out = out.when(words >= MIN_WORDS, other["i"])
-        return out
-
-    window = lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("n"))
-    down = F.transform("_l_full", lambda x, k: window(x["i"], end(k, 1)))
-    up = F.transform("_l_full", lambda x, k: window(end(k, -1), x["i"]))
-    return df.withColumn("_l_windows", F.array_distinct(F.filter(F.concat(down, up), lambda w: w["n"].isNotNull())))
-
-
-def _occurrences(docs: DataFrame, doc_id: str, text: str, whole: bool) -> DataFrame:
-    """(d, sig, first, n, h, digest) a window (else a chunk), per row; no
-    digest: does not qualify."""
+def line_marks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(d, sig, digests, full, marks) per row with a text: SHA-256 of every
+    line; line number and words of the lines with words; and the hashes to
+    count, (k, h): the rolling hash of the k-th and next line with words (and
+    the lines between), or, under -1 - k, the hash of a long k-th line."""
+    t = F.col(f"`{text}`")
+    df = docs.filter(t.isNotNull()).select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), F.split(t, "\n").alias("lines"))
+    df = df.select("d", "sig", F.transform("lines", lambda x: F.struct(
+        F.base64(F.unhex(F.sha2(x, 256))).alias("s"), _n_words(x).alias("w"))).alias("lines"))
+    df = df.select("d", "sig", F.col("lines.s").alias("digests"), F.filter(
+        F.transform("lines", lambda x, i: F.struct(i.alias("i"), x["w"].alias("w"))), lambda x: x["w"] > 0).alias("full"))
+    after = lambda k: F.get(F.col("full"), k + 1)["i"]
+    rolling = F.transform("full", lambda x, k: F.struct(
+        k.alias("k"), F.when(after(k).isNotNull(), _run_hash(x["i"], after(k) - x["i"] + 1)).alias("h")))
+    alone = F.transform("full", lambda x, k: F.struct(
+        (-1 - k).alias("k"), F.when(x["w"] >= LONG_LINE_WORDS, _run_hash(x["i"], F.lit(1))).alias("h")))
+    return df.withColumn("marks", F.filter(F.concat(rolling, alone), lambda m: m["h"].isNotNull()))
+
+
+def _run_text(first: Column, n: Column) -> Column:
+    return F.array_join(F.slice(F.col("digests"), first + 1, n), "")
+
+
+def _run_hash(first: Column, n: Column) -> Column:
+    return F.xxhash64(_run_text(first, n))
+
+
+def chunks_by_rolling_hash(marks: DataFrame) -> DataFrame:
+    """(d, sig, base, digests, full) per chunk of ``line_marks``: a longest run
+    of lines whose rolling hashes all repeat in the corpus, or a repeated long
+    line. Line numbers count from ``base``."""
+    each = marks.select("d", "sig", F.explode("marks").alias("m")).select("d", "sig", "m.k", "m.h")
+    repeated = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    places = (each.join(repeated, "h").groupBy(F.col("d").alias("_d"), F.col("sig").alias("_sig"))
+              .agg(F.sort_array(F.collect_set("k")).alias("at")))
+    df = marks.drop("marks").join(
+        places, F.col("d").eqNullSafe(F.col("_d")) & (F.col("sig") == F.col("_sig"))).drop("_d", "_sig")
+    df = df.withColumns({"own": F.filter("at", lambda k: k < 0), "at": F.filter("at", lambda k: k >= 0)})
+    breaks = lambda step: F.filter("at", lambda k, j: F.coalesce(F.get("at", j + step) != k + step, F.lit(True)))
+    span = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    df = df.withColumn("c", F.explode(F.concat(
+        F.zip_with(breaks(-1), breaks(1), lambda a, b: span(a, b + 1)), F.transform("own", lambda k: span(-1 - k, -1 - k)))))
+    line = lambda k: F.get("full", k)["i"]
+    return df.select("d", "sig", line(F.col("c.lo")).alias("base"),
+                     F.slice("digests", line(F.col("c.lo")) + 1, line(F.col("c.hi")) - line(F.col("c.lo")) + 1).alias("digests"),
+                     F.transform(F.slice("full", F.col("c.lo") + 1, F.col("c.hi") - F.col("c.lo") + 1), lambda x: F.struct(
+                         (x["i"] - line(F.col("c.lo"))).alias("i"), x["w"].alias("w"))).alias("full"))
+
+
+def _end(k: Column, step: int) -> Column:
+    """The other end of the shortest qualifying run from the k-th line of
+    ``full``; null if the chunk ends before."""
+    words = F.get("full", k)["w"]
+    out = F.when(words >= LONG_LINE_WORDS, F.get("full", k)["i"])
+    for j in range(1, MIN_WORDS):  # each of the lines has a word
+        other = F.get("full", k + j * step)
+        words = words + other["w"]
+        out = out.when(words >= MIN_WORDS, other["i"])
+    return out
+
+
+def _chunk_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(d, sig, first, n, digest) per shortest qualifying run of the chunks."""
+    marks = stored(line_marks(docs, doc_id, text), "line_marks")
+    run = lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("n"))
+    c = chunks_by_rolling_hash(marks)
+    c = c.withColumn("runs", F.array_distinct(F.filter(F.concat(
+        F.transform("full", lambda x, k: run(x["i"], _end(k, 1))),
+        F.transform("full", lambda x, k: run(_end(k, -1), x["i"]))), lambda w: w["n"].isNotNull())))
+    c = c.select("d", "sig", "base", F.explode(F.transform("runs", lambda w: F.struct(
+        w["first"].alias("first"), w["n"].alias("n"), F.unhex(F.sha2(_run_text(w["first"], w["n"]), 256)).alias("digest")))).alias("r"))
+    return c.select("d", "sig", (F.col("base") + F.col("r.first")).alias("first"), "r.n", "r.digest")
+
+
+def _small_chunks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(d, sig, first, n, digest) per qualifying chunk whose hash repeats."""
     t = F.col(f"`{text}`")
-    d = (with_windows if whole else with_chunks)(
-        docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), t.alias("t")), "t")
-    d = d.select("d", "sig", F.explode(F.transform("_l_windows" if whole else "_l_chunks", lambda c: F.struct(
+    d = with_chunks(docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(t).alias("sig"), t.alias("t")), "t")
+    d = d.select("d", "sig", F.explode(F.transform("_l_chunks", lambda c: F.struct(
         c["first"].alias("first"), c["n"].alias("n"),
         F.array_join(F.slice(F.col("_l_lines"), c["first"] + 1, c["n"]), "\n").alias("body")))).alias("c"))
     body = F.col("c.body")
-    if not whole:  # a text of w words has at least 2 w - 1 characters
-        d = d.filter(((F.col("c.n") > 1) & (F.length(body) >= 2 * MIN_WORDS - 1)) | (F.length(body) >= 2 * LONG_LINE_WORDS - 1))
-    sure = F.lit(True)
-    if not whole:
-        words = _n_words(body)
-        sure = (words >= LONG_LINE_WORDS) | ((F.col("c.n") > 1) & (words >= MIN_WORDS))
-    return d.select("d", "sig", "c.first", "c.n", F.xxhash64(body).alias("h"),
-                    F.when(sure, F.unhex(F.sha2(body, 256))).alias("digest"))
+    # a text of w words has at least 2 w - 1 characters
+    d = d.filter(((F.col("c.n") > 1) & (F.length(body) >= 2 * MIN_WORDS - 1)) | (F.length(body) >= 2 * LONG_LINE_WORDS - 1))
+    words = _n_words(body)
+    sure = (words >= LONG_LINE_WORDS) | ((F.col("c.n") > 1) & (words >= MIN_WORDS))
+    occ = d.select("d", "sig", "c.first", "c.n", F.xxhash64(body).alias("h"), F.when(sure, F.unhex(F.sha2(body, 256))).alias("digest"))
+    counts = occ.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    return occ.filter("digest is not null").join(counts, "h").drop("h")
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(d, sig, drop): per document the numbers of its lines to remove."""
-    occ = _occurrences(docs, doc_id, text, whole)
-    counts = occ.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    cand = stored(occ.filter("digest is not null").join(counts, "h").drop("h"), "line_runs")
+    cand = stored((_chunk_runs if whole else _small_chunks)(docs, doc_id, text), "line_runs")
     place = F.struct("d", "first", "sig")
     earliest = (cand.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high"))
                 .filter(~F.col("low").eqNullSafe(F.col("high"))).drop("high"))

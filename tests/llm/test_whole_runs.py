@@ -63,3 +63,30 @@ def test_whole_runs_edges(spark):
     assert len(out) == docs.count()
     assert all((r["text"] is None) == (r["n_lines"] == 0) for r in out)
     assert L.line_dedup(empty_docs(spark), whole=True).count() == 0
+
+
+def test_chunks_hold_every_repeated_window_of_line_soups(spark):
+    """Texts drawn from few lines, so chunks hold many passages back to back;
+    repeated rows among them."""
+    rng = random.Random(11)
+    pool = ["", " ", "a", "b c d", "e f g h i j", " ".join(f"k{i}" for i in range(12)), " ".join(f"m{i}" for i in range(55))]
+    pool += [f"rare {i} x y z" for i in range(60)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(14)))) for i in range(300)]
+    first, want = {}, {}
+    for d, text in rows:
+        lines, gone = text.split("\n"), set()
+        for a, b in windows(lines):
+            d0, a0, b0 = first.setdefault("\n".join(lines[a:b + 1]), (d, a, b))
+            gone |= set(range(a, b + 1)) - (set(range(a0, b0 + 1)) if d0 == d else set())
+        want[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    got = L.line_dedup(spark.createDataFrame(rows + rows[:20], "doc_id long, text string").repartition(7), whole=True).collect()
+    assert len(got) == 320 and all(want[r["doc_id"]] == r["text"] for r in got)
+    assert sum(want[d] != t for d, t in rows) > 20
+
+
+def test_chunk_ends_where_the_rolling_hash_is_alone(spark):
+    p, q = [f"p{i} one two three four five" for i in range(4)], [f"q{i} one two three" for i in range(3)]
+    rows = [(1, "\n".join(["x"] + p + ["y"])), (2, "\n".join(p + q)), (3, "\n".join(["z", "z2"] + q + ["", "w"])), (4, "w"), (5, None)]
+    marks = L.line_marks(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    got = {(r["d"], r["base"], len(r["digests"])) for r in L.chunks_by_rolling_hash(marks).collect()}
+    assert got == {(1, 1, 4), (2, 0, 4), (2, 4, 3), (3, 2, 3)}
