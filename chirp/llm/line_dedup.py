@@ -168,8 +168,9 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole:
     """(d, sig, drop): per document the numbers of its lines to remove."""
     cand = stored((_chunk_runs if whole else _small_chunks)(docs, doc_id, text), "line_runs")
     place = F.struct("d", "first", "sig")
-    earliest = (cand.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-                .filter(~F.col("low").eqNullSafe(F.col("high"))).drop("high"))
+    # stored, as AQE splits a hot digest only where both sides come straight from a shuffle
+    earliest = stored(cand.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+                      .filter(~F.col("low").eqNullSafe(F.col("high"))).drop("high"), "line_first")
     later = cand.join(earliest, "digest").filter(~place.eqNullSafe(F.col("low")))
     # a run that overlaps its own first occurrence leaves the lines of that
     own = F.col("d").eqNullSafe(F.col("low.d")) & (F.col("sig") == F.col("low.sig"))
