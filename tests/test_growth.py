@@ -91,3 +91,37 @@ def test_partitioned_write_does_not_sort_whole_rows(spark, monkeypatch):
     T.write_parquet(spark.range(400).withColumn("p", F.col("id") % 40), path, partition_by=["p"])
     assert seen == [str(T.OPEN_WRITERS)] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     assert sorted((r.id, r.p) for r in spark.read.parquet(path).collect()) == [(i, i % 40) for i in range(400)]
+
+
+@pytest.mark.parametrize("how", ["hash", "random"])
+def test_model_of_stored_vectors_equals_mllib(spark, monkeypatch, how):
+    """The stored vectors are those of the pipeline's own stages, and so are the
+    predictions; only the test side's text is stored with them."""
+    odd = ["", " ", "good  day ", "\tThe GOOD\nday\x0bnow", " bad", None, "bad day the bad", "i am", "straße GOOD\r"]
+    rows = [(i, odd[i % len(odd)] if i % 3 == 0 else f"{'good' if i % 2 else 'bad'} day w{i % 7}", "p" if i % 2 else "n") for i in range(300)]
+    df = spark.createDataFrame([*rows, (None, "no key", "p")], "tweetid long, tweet string, sentiment string")
+    names, kept = [], P.stored
+    monkeypatch.setattr(P, "stored", lambda d, name, *a: (names.append((name, kept(d, name, *a))), names[-1][1])[1])
+    model, pred = P.fit_predict(df, how=how, max_iter=10, min_doc_freq=2)
+    assert dict(names)["model_features"].filter("_train").filter("tweet IS NOT NULL").isEmpty()
+    train, test = P.split(P._non_null_text(df, "tweet"), how, "tweetid")
+    want_model = P.sentiment_pipeline(max_iter=10, min_doc_freq=2).fit(train)
+
+    def by_term(d, m):
+        words = m.stages[2].vocabulary
+        return {r.tweetid: (r.tweet, r.label, r.prediction, {words[i]: round(v, 9) for i, v in zip(r.features.indices.tolist(), r.features.values.tolist())}, [round(x, 6) for x in r.probability])
+                for r in d.select("tweetid", "tweet", "label", "prediction", "features", "probability").collect()}
+
+    want, got = by_term(want_model.transform(test), want_model), by_term(pred, model)
+    assert got == want and len(got) > 50
+    assert by_term(model.transform(test), model) == want
+    assert {"tweetid", "tweet", "sentiment", "1gram_idf", "features", "label", "rawPrediction", "probability", "prediction"} == set(pred.columns)
+
+
+def test_filter_of_missing_texts_does_not_make_texts_twice(spark, monkeypatch):
+    plans, kept = [], P.stored
+    monkeypatch.setattr(P, "stored", lambda d, name, *a: (plans.append((name, d._jdf.queryExecution().optimizedPlan().toString())), kept(d, name, *a))[1])
+    df = spark.range(200).select(F.col("id").alias("tweetid"), F.regexp_replace(F.concat(F.lit("a b"), F.col("id")), "[0-9]{9}", "").alias("tweet"),
+                                 F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("sentiment"))
+    P.fit_predict(df, max_iter=2)
+    assert plans[0][1].count("[0-9]{9}") == 1
