@@ -68,3 +68,17 @@ def test_filtered_lines_are_staged_without_their_text(spark, monkeypatch):
     root = scratch_path(spark, "test-filtered")
     S_in.process_batch(events(spark, 50), 0, f"{root}/out", f"{root}/dead", languages=["fr"])
     assert len(seen[0]) > 40 and set(seen[0]) == {None}
+
+
+def test_parquet_sink_takes_less_than_snappy(spark):
+    root = scratch_path(spark, "test-codec")
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", i), F.lit(5000)))), " ")
+    df = spark.range(2000, numPartitions=2).select("id", words.alias("t"), (F.col("id") % 3).alias("p"))
+    for name, codec in (("zstd", {}), ("snappy", {"compression": "snappy"})):
+        T.write_parquet(df, f"{root}/{name}", partition_by=["p"], **codec)
+        assert files(f"{root}/{name}") and all(f".{name}." in f for f in files(f"{root}/{name}"))
+    size = {n: sum(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{root}/{n}").agg(F.sum("length")).first())
+            for n in ("zstd", "snappy")}
+    assert size["zstd"] < 0.75 * size["snappy"]
+    a, b = spark.read.parquet(f"{root}/zstd"), spark.read.parquet(f"{root}/snappy")
+    assert a.exceptAll(b).isEmpty() and a.count() == 2000
