@@ -82,3 +82,39 @@ def test_parquet_sink_takes_less_than_snappy(spark):
     assert size["zstd"] < 0.75 * size["snappy"]
     a, b = spark.read.parquet(f"{root}/zstd"), spark.read.parquet(f"{root}/snappy")
     assert a.exceptAll(b).isEmpty() and a.count() == 2000
+
+
+def test_cleaning_in_arrow_batches_equals_the_expressions(spark):
+    """Row by row on random strings of everything the steps look at."""
+    import random
+
+    from chirp.functions.text import clean_text
+    rng = random.Random(5)
+    bits = ["RT @", "RT", " @", "http", "https://t.co/a", "HTTP", "h", "ttp", " ", "  ", "\t", "\n", "\x0b", "\f", "\r", "\x1c", " ", " ", "a", "Zb", "9",
+            "_", "@", "[", "]", "\\", "^", "`", ".", "'", "é", "İ", "ſ", "K", "ß", "漢", "😀", "\x00", "\x7f", "\u0085"]
+    rows = [None, "", " ", "http", "http ", "xhttp://a b", "hRT @ttp x", "RT RT @@"] + ["".join(rng.choices(bits, k=rng.randrange(14))) for _ in range(6000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, t string").repartition(3)
+    df = df.unionByName(spark.createDataFrame([(-1, bytearray(b"a\xffB\xc3 http\xff\xfe c")), (-2, bytearray(b"\xff"))], "id long, b binary")
+                        .select("id", F.expr("cast(b as string)").alias("t")))
+    for strict in (False, True):
+        both = df.select("id", "t", clean_text("t", strict=strict).alias("want"), clean_text("t", strict=strict, arrow=True).alias("got"))
+        assert both.filter(~F.col("want").eqNullSafe(F.col("got"))).collect() == []
+
+
+def test_vocabulary_makes_each_text_once_and_moves_totals_only(spark):
+    """One cleaning and one count a text, wherever missing texts are left out."""
+    seen = []
+    for query in (Q.vocabulary, Q.idf_table, Q.tfidf):
+        kept = P.stored
+        try:
+            P.stored = lambda d, name, *a: (seen.append(d._jdf.queryExecution().optimizedPlan().toString()), kept(d, name, *a))[1]
+            if query is Q.vocabulary:
+                seen.append(P.text_totals(Q._texts(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString())
+            query(spark, "/root/testdata/sf0.001")
+        finally:
+            P.stored = kept
+    assert all(p.count("ArrowEvalPython") <= 1 and "http" + r"\S+" not in p for p in seen) and sum("ArrowEvalPython" in p for p in seen) == 3
+    df = spark.createDataFrame([(1, "b A b "), (2, ""), (3, "the"), (4, None), (5, "b")] * 700, "k long, t string").coalesce(2)
+    want = P.term_totals(P.term_counts(df, "k", "t"))
+    got = P.text_totals(df, "t")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [("", 1400, 1400), ("b", 2100, 1400)]
