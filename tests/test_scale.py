@@ -118,3 +118,19 @@ def test_vocabulary_makes_each_text_once_and_moves_totals_only(spark):
     want = P.term_totals(P.term_counts(df, "k", "t"))
     got = P.text_totals(df, "t")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [("", 1400, 1400), ("b", 2100, 1400)]
+
+
+def test_rounded_weights_and_stored_totals_equal_the_plain_ones(spark, monkeypatch):
+    df = spark.createDataFrame([(i, " ".join(["w" + str(i % 7)] * (i % 30 + 1) + ["x", "", "the"])) for i in range(90)] + [(90, None), (91, ""), (None, "x y")],
+                               "k long, t string").repartition(3)
+    plain = P.term_counts(df, "k", "t")
+    counts, totals, n = P.stored_counts_and_totals(df, "k", "t")
+    assert n == 92 and sorted(map(str, counts.collect())) == sorted(map(str, plain.collect()))
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, P.term_totals(plain).select("term", "n", "doc_freq").collect()))
+    want = P.tfidf(plain, "k", n, min_doc_freq=2).withColumn("tfidf", F.round("tfidf", 6))
+    got = P.tfidf(counts, "k", n, min_doc_freq=2, totals=totals, decimals=6)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    seen, kept = [], P.ranked_cut  # the vocabulary is cut from the batches' totals, without grouping the counts of single texts
+    monkeypatch.setattr(P, "ranked_cut", lambda d, *a: (seen.append(d._jdf.queryExecution().optimizedPlan().toString()), kept(d, *a))[1])
+    P.tfidf(counts, "k", n, totals=totals, decimals=6)
+    assert "isnotnull(doc_freq" in seen[0]
