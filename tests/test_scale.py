@@ -134,3 +134,20 @@ def test_rounded_weights_and_stored_totals_equal_the_plain_ones(spark, monkeypat
     monkeypatch.setattr(P, "ranked_cut", lambda d, *a: (seen.append(d._jdf.queryExecution().optimizedPlan().toString()), kept(d, *a))[1])
     P.tfidf(counts, "k", n, totals=totals, decimals=6)
     assert "isnotnull(doc_freq" in seen[0]
+
+
+@pytest.mark.parametrize("query", ["sentiment_lr", "model_metrics"])
+def test_model_texts_are_cleaned_in_arrow_batches_once(spark, monkeypatch, query):
+    seen = []
+
+    class Seen(Exception):
+        pass
+
+    def fit(df, **_):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        raise Seen
+
+    monkeypatch.setattr(P, "fit_predict", fit)
+    with pytest.raises(Seen):
+        getattr(Q, query)(spark, "/root/testdata/sf0.001")
+    assert seen[0].count("ArrowEvalPython") == 1 and r"http\S+" not in seen[0]
